@@ -142,3 +142,16 @@ class Warehouse:
         if self.folder is None:
             raise ValueError("a folder is needed to publish to")
         return {name: self[name] for name in LAYOUT}
+
+
+class Overlay:
+    """A warehouse with some relations exchanged; everything else is as it was built."""
+
+    def __init__(self, base: Warehouse, raw: Mapping[str, DataFrame] | None = None, **frames: DataFrame):
+        self.base = base
+        self.raw = {**base.raw, **(raw or {})}
+        self.settings = base.settings
+        self.frames = frames
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.frames[name] if name in self.frames else self.base[name]

@@ -89,7 +89,7 @@ def laid_out(
     would put it into one.
     """
     if partition_by:
-        frame = frame.hint("rebalance", *partition_by)
+        frame = frame.hint("rebalance", *[F.col(c) for c in partition_by])
     if cluster_by:
         frame = frame.sortWithinPartitions(*partition_by, *cluster_by)
     return frame
