@@ -82,7 +82,9 @@ def calendar_covers_business_dates(w) -> DataFrame:
         "order_delivered_to_customer_at_utc",
         "order_estimated_delivery_at_utc",
     )
-    order_days = orders.select(F.to_date(F.explode(F.array_compact(stamps))).alias("calendar_date"))
+    order_days = orders.select(F.explode(F.array_compact(stamps)).alias("stamp")).select(
+        F.to_date("stamp").alias("calendar_date")
+    )
     review_days = reviews.select(F.to_date("review_created_at_utc").alias("calendar_date"))
     needed = order_days.unionByName(review_days).dropna().distinct()
     return needed.join(w["dim_date"].select("calendar_date"), "calendar_date", "left_anti")
@@ -523,34 +525,37 @@ def order_values_reconcile(w) -> DataFrame:
 
 
 def seller_days_reconcile(w) -> DataFrame:
-    """Seller days from item rows and distinct orders instead of seller orders."""
-    order = C("order_id")
-    joined = (
+    """Seller days from item rows that carry the order flags themselves."""
+    flags = w["int_order_delivery"].select(
+        "order_id",
+        C("purchase_date").alias("calendar_date"),
+        "is_cancelled",
+        "is_late",
+        "is_delivered",
+    )
+    seller_orders = (
         w["stg_order_items"]
-        .select("order_id", "seller_id", "item_price", "freight_value")
-        .join(
-            w["int_order_delivery"].select(
-                "order_id",
-                C("purchase_date").alias("calendar_date"),
-                "is_cancelled",
-                "is_late",
-                "is_delivered",
-            ),
-            "order_id",
+        .join(flags, "order_id")
+        .groupBy("seller_id", "calendar_date", "order_id")
+        .agg(
+            F.count(F.lit(1)).alias("items"),
+            F.sum("item_price").cast(NUMERIC).alias("price"),
+            F.sum("freight_value").cast(NUMERIC).alias("freight"),
+            *[F.bool_or(f).alias(f) for f in ("is_cancelled", "is_late", "is_delivered")],
         )
     )
-    total = C("item_price") + C("freight_value")
-    expected = joined.groupBy("seller_id", "calendar_date").agg(
-        F.countDistinct(order).alias("orders_count"),
-        F.count(F.lit(1)).alias("items_count"),
-        F.sum("item_price").alias("items_value"),
-        F.sum("freight_value").alias("freight_total"),
-        F.sum(F.when(~C("is_cancelled"), total).otherwise(F.lit(0))).alias("gmv"),
-        F.countDistinct(F.when(~C("is_cancelled"), order)).alias("non_cancelled_orders_count"),
-        F.countDistinct(F.when(C("is_delivered"), order)).alias("delivered_orders_count"),
-        F.countDistinct(F.when(C("is_cancelled"), order)).alias("cancelled_orders_count"),
-        F.countDistinct(F.when(C("is_late"), order)).alias("late_orders_count"),
-        F.countDistinct(F.when(C("is_cancelled") | C("is_late"), order)).alias(
+    live = F.when(C("is_cancelled"), F.lit(0).cast(NUMERIC)).otherwise(C("price") + C("freight"))
+    expected = seller_orders.groupBy("seller_id", "calendar_date").agg(
+        F.count(F.lit(1)).alias("orders_count"),
+        F.sum("items").alias("items_count"),
+        F.sum("price").alias("items_value"),
+        F.sum("freight").alias("freight_total"),
+        F.sum(live).alias("gmv"),
+        F.sum(F.when(C("is_cancelled"), 0).otherwise(1)).alias("non_cancelled_orders_count"),
+        _ones("is_delivered").alias("delivered_orders_count"),
+        _ones("is_cancelled").alias("cancelled_orders_count"),
+        _ones("is_late").alias("late_orders_count"),
+        F.sum(F.when(C("is_cancelled") | C("is_late"), 1).otherwise(0)).alias(
             "operational_defect_orders_count"
         ),
     )

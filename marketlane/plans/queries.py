@@ -14,7 +14,7 @@ from marketlane.operators import cards, facts, quality, snapshots
 from marketlane.operators import ledger as L
 from marketlane.operators.assertions import ASSERTIONS
 from marketlane.operators.dimensions import PRODUCT_ATTRIBUTES, SELLER_ATTRIBUTES
-from marketlane.plans import context, oracle_cards, oracle_checks, oracle_ingestion, rules, workflows
+from marketlane.plans import context, incremental, oracle_cards, oracle_checks, oracle_ingestion, rules, workflows
 from marketlane.plans.context import edge, lazy, published
 from marketlane.plans.damage import DAMAGE
 from marketlane.plans.oracle_models import checked, with_models
@@ -327,16 +327,11 @@ def _earlier_fact(w: Warehouse) -> DataFrame:
     )
 
 
-def _replayed(w: Warehouse, existing: DataFrame) -> DataFrame:
-    window = facts.replay_window(w["int_order_delivery"], existing, w.settings)
-    return facts.fact_orders(window, w["int_order_value"], w["order_customers"], w.settings)
-
-
 @register("i1_incremental_upsert", oracle_ingestion.INCREMENTAL_FACT)
 def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    w = lazy(spark, folder)
+    w = published(spark, folder)
     existing = _earlier_fact(w)
-    return facts.upsert(existing, _replayed(w, existing), ["order_id"]).select(*FACT_COLUMNS)
+    return facts.upsert(existing, incremental.replayed_orders(w, existing), ["order_id"]).select(*FACT_COLUMNS)
 
 
 @register("i1_incremental_partitions", oracle_ingestion.INCREMENTAL_FACT)
@@ -345,13 +340,10 @@ def incremental_partitions(spark: SparkSession, folder: str) -> DataFrame:
     w = published(spark, folder)
     table = session.fresh_folder(spark, "fact-orders")
 
-    def by_month(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("purchase_month", F.date_format("purchase_date", "yyyy-MM"))
-
-    tables.replace_table(by_month(_earlier_fact(w)), table, ["purchase_month"], ["customer_unique_id"])
-    existing = tables.read_table(spark, table)
-    incoming = by_month(_replayed(w, existing))
-    tables.upsert_partitions(incoming, table, ["order_id"], "purchase_month", ["customer_unique_id"])
+    tables.replace_table(
+        incremental.with_month(_earlier_fact(w)), table, [incremental.MONTH], incremental.CLUSTER
+    )
+    incremental.refresh_fact_orders(spark, w, table)
     return tables.read_table(spark, table).select(*FACT_COLUMNS)
 
 
@@ -366,14 +358,17 @@ def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("f6_physical_layout", oracle_ingestion.LAYOUT)
 def physical_layout(spark: SparkSession, folder: str) -> DataFrame:
-    """A mart stored by day and sorted by state, read back for one quarter."""
+    """A mart stored in date folders and sorted by state, read back for one quarter.
+
+    Months stand in for days here: the test tables have a few slices per day.
+    """
     w = published(spark, folder)
     table = session.fresh_folder(spark, "mart-layout")
-    tables.replace_table(w["mart_customer_experience"], table, ["purchase_date"], ["customer_state"])
-    quarter = F.col("purchase_date").between(date(2000, 1, 1), date(2000, 3, 31))
+    mart = w["mart_customer_experience"].withColumn("month", F.trunc("purchase_date", "month"))
+    tables.replace_table(mart, table, ["month"], ["customer_state"])
     return (
         tables.read_table(spark, table)
-        .filter(quarter)
+        .filter(F.col("month").between(date(2000, 1, 1), date(2000, 3, 31)))
         .groupBy("purchase_date")
         .agg(F.count(F.lit(1)).alias("slices"), F.sum("orders_count").alias("orders_count"))
     )
@@ -776,7 +771,7 @@ def bootstrap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register("a27_incremental_load", oracle_ingestion.INCREMENTAL)
-def incremental(spark: SparkSession, folder: str) -> DataFrame:
+def incremental_load(spark: SparkSession, folder: str) -> DataFrame:
     """Two runs over one landing folder; the second finds nothing to do."""
     store = workflows.Store(session.fresh_folder(spark, "store"))
     target = _landed(spark, folder)

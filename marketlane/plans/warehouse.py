@@ -77,8 +77,23 @@ RELATIONS = {
     ),
 }
 
-# Stored tables: partition column and sort columns. The other relations stay views.
+# Stored tables: partition column and sort columns. Staging is stored because each
+# staged relation feeds several others, and cleaning and deduplicating it again for
+# each would cost a scan and a shuffle every time; order grain relations likewise.
 LAYOUT: dict[str, tuple[str | None, tuple[str, ...]]] = {
+    "stg_orders": (None, ()),
+    "stg_order_items": (None, ()),
+    "stg_payments": (None, ()),
+    "stg_reviews": (None, ()),
+    "stg_customers": (None, ()),
+    "stg_sellers": (None, ()),
+    "stg_products": (None, ()),
+    "stg_geolocation": (None, ()),
+    "stg_holidays": (None, ()),
+    "stg_weather_daily": (None, ("weather_date",)),
+    "int_order_delivery": (None, ()),
+    "order_customers": (None, ()),
+    "int_order_review_metrics": (None, ()),
     "dim_date": (None, ("calendar_date",)),
     "dim_customer": (None, ()),
     "dim_product": (None, ()),
@@ -141,7 +156,7 @@ class Warehouse:
         """Build all stored tables in dependency order."""
         if self.folder is None:
             raise ValueError("a folder is needed to publish to")
-        return {name: self[name] for name in LAYOUT}
+        return {name: self[name] for name in RELATIONS if name in LAYOUT}
 
 
 class Overlay:

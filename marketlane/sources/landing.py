@@ -56,7 +56,14 @@ def source_name(file_name: Column) -> Column:
 def land_csv(frame: DataFrame, landing: str, batch_id: str, file_name: str) -> str:
     """Write a frame as one landing file (a folder of part files)."""
     path = f"{landing}/{batch_id}/{file_name}"
-    frame.write.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    (
+        frame.write.option("header", True)
+        .option("escape", '"')
+        .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return path
 
 
