@@ -15,6 +15,9 @@ from marketlane.sources.registry import METADATA, SOURCES, SourceSpec
 
 Window = tuple[date, date] | None
 BATCH_PARTITION = "batch_partition"
+# A run saves the ledger once per source and status change, and compares its last
+# state with its first: versions must outlive a run.
+LEDGER_VERSIONS = 50
 
 
 @dataclass(frozen=True)
@@ -184,7 +187,7 @@ def read_batch_files(
 def save_ledger(spark: SparkSession, store: Store, updates: DataFrame) -> DataFrame:
     """Upsert ledger rows in the stored ledger; gives the stored result."""
     merged = L.upsert_ledger(L.read_ledger(spark, store.ledger), updates)
-    tables.replace_table(merged, store.ledger, allow_empty=True)
+    tables.replace_table(merged, store.ledger, allow_empty=True, keep=LEDGER_VERSIONS)
     return L.require_valid(L.read_ledger(spark, store.ledger))
 
 

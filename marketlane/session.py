@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -35,18 +36,19 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by the cluster.
+    """Folder all executors can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Only when ``spark.checkpoint.dir`` is unset (single machine, tests) a
-    temporary folder is made and recorded in the session, once.
+    Only where that is unset (one machine, tests) a temporary folder serves instead.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="marketlane-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     return folder.rstrip("/")
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="marketlane-")
+
+
 def run_folder(spark: SparkSession, *parts: str) -> str:
     """A folder of this run below the shared folder."""
     return "/".join([shared_folder(spark), f"marketlane-{_RUN_ID}", *parts])
