@@ -39,28 +39,28 @@ def number_within_key(
     """Number the rows of each key by ``instant`` then ``order``, hot keys included.
 
     A plain window puts all rows of a key into one task. Here a key holding more
-    than ``1/share`` of all rows is cut into days; each day is numbered on its own
-    and shifted by the rows of the earlier days. There can be at most ``share``
+    than ``1/share`` of all rows is cut into minutes; each minute is numbered on its
+    own and shifted by the rows of the earlier ones. There can be at most ``share``
     such keys, whatever the data size, so their list is safe to broadcast. All
     other keys form a single slice and are numbered as usual.
     """
-    sizes = frame.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    # NULL instants come first; a key that is not cut is one slice of its own.
+    first = F.lit("0001-01-01").cast("timestamp")
+    whole = F.lit("9999-12-31").cast("timestamp")
+    minute = F.coalesce(F.date_trunc("minute", instant), first)
+    by_minute = frame.groupBy(key, minute.alias("_slice")).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = by_minute.groupBy(key).agg(F.sum("_rows").alias("_rows"))
     total = sizes.agg(F.sum("_rows")).scalar()
     hot = sizes.filter(F.col("_rows") * share > total).select(key, F.lit(True).alias("_hot"))
 
-    day = F.coalesce(F.to_date(instant), F.lit("0001-01-01").cast("date"))
-    sliced = (
-        frame.join(F.broadcast(hot), key, "left")
-        .withColumn("_slice", F.when(F.col("_hot"), day).otherwise(F.lit("9999-12-31").cast("date")))
-    )
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    shifts = (
-        sliced.filter("_hot")
-        .groupBy(key, "_slice")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(key, "_slice", F.sum("_rows").over(earlier).alias("_shift"))
+    shifts = by_minute.join(F.broadcast(hot), key).select(
+        key, "_slice", F.sum("_rows").over(earlier).alias("_shift")
+    )
+    sliced = frame.join(F.broadcast(hot), key, "left").withColumn(
+        "_slice", F.when(F.col("_hot"), minute).otherwise(whole)
     )
     inside = Window.partitionBy(key, "_slice").orderBy(
         F.asc_nulls_first(instant), *[F.asc_nulls_first(c) for c in order]

@@ -164,9 +164,10 @@ def int_review_enriched(
     def flag(name: str):
         return F.coalesce(name, F.lit(False)).alias(name)
 
+    # Both sides hold an order once, so they meet first and reviews join a single time.
+    context = outcome.join(category, "order_id", "full_outer")
     return (
-        reviews.join(outcome, "order_id", "left")
-        .join(category, "order_id", "left")
+        reviews.join(context, "order_id", "left")
         .select(
             "review_id",
             "order_id",

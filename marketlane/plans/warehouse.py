@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -108,6 +109,16 @@ LAYOUT: dict[str, tuple[str | None, tuple[str, ...]]] = {
     "mart_seller_experience": ("calendar_date", ("seller_id",)),
 }
 
+PUBLISH_STEPS = (
+    tuple(name for name in LAYOUT if name.startswith("stg_")),
+    ("dim_date", "dim_customer", "dim_product", "dim_seller", "order_customers"),
+    ("int_order_delivery",),
+    ("fact_orders", "mart_seller_performance"),
+    ("fact_order_items", "fact_reviews", "mart_fulfillment_ops"),
+    ("int_order_review_metrics", "mart_exec_daily"),
+    ("mart_customer_experience", "mart_seller_experience"),
+)
+
 
 class Warehouse:
     """Relations by name, each built once from the ones it needs.
@@ -152,11 +163,17 @@ class Warehouse:
         stored = tables.read_table(frame.sparkSession, table)
         return stored.select(*frame.columns)
 
-    def publish(self) -> dict[str, DataFrame]:
-        """Build all stored tables in dependency order."""
+    def publish(self, at_once: int = 4) -> dict[str, DataFrame]:
+        """Build all stored tables, several Spark jobs at a time.
+
+        The tables of a step need only those of earlier steps.
+        """
         if self.folder is None:
             raise ValueError("a folder is needed to publish to")
-        return {name: self[name] for name in RELATIONS if name in LAYOUT}
+        with ThreadPoolExecutor(at_once) as pool:
+            for step in PUBLISH_STEPS:
+                list(pool.map(self.__getitem__, step))
+        return {name: self[name] for name in LAYOUT}
 
 
 class Overlay:

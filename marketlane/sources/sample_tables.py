@@ -40,10 +40,10 @@ def raw_relations(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
-    base = order_base(table("orders"))
+    base = order_base(spread(table("orders")))
     return {
         "orders": raw_orders(base),
-        "order_items": raw_order_items(table("lineitem")),
+        "order_items": raw_order_items(spread(table("lineitem"))),
         "order_payments": raw_order_payments(base),
         "order_reviews": raw_order_reviews(base),
         "customers": raw_customers(base, table("customer"), table("nation")),
@@ -55,6 +55,15 @@ def raw_relations(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Use all cores when a table comes as fewer splits than there are.
+
+    A large table has far more splits than cores and is left alone.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def order_base(orders: DataFrame) -> DataFrame:
     """Order keys with the lifecycle each order is given."""
     k, day = F.col("k"), F.col("d")
