@@ -28,6 +28,17 @@ def newest_per_key(frame: DataFrame, key: Sequence[str]) -> DataFrame:
     return first_per_key(frame, key, order)
 
 
+def upsert(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keyed upsert: incoming rows replace or join the existing ones.
+
+    Columns new in ``incoming`` are added (NULL in rows that stay); columns it no
+    longer has are dropped.
+    """
+    kept = existing.join(incoming.select(*key), list(key), "left_anti")
+    kept = kept.select(*[c for c in incoming.columns if c in kept.columns])
+    return incoming.unionByName(kept, allowMissingColumns=True)
+
+
 def number_within_key(
     frame: DataFrame,
     key: str,

@@ -160,14 +160,3 @@ def replay_window(delivery: DataFrame, existing: DataFrame, settings: Settings)
         - F.expr(f"INTERVAL {int(settings.order_lookback_days)} DAYS")
     )
     return delivery.filter(F.col("order_purchased_at_utc") >= newest.scalar())
-
-
-def upsert(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
-    """Keyed upsert: incoming rows replace or join the existing ones.
-
-    Columns new in ``incoming`` are added (NULL in rows that stay); columns it no
-    longer has are dropped.
-    """
-    kept = existing.join(incoming.select(*key), key, "left_anti")
-    kept = kept.select(*[c for c in incoming.columns if c in kept.columns])
-    return incoming.unionByName(kept, allowMissingColumns=True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlane.contracts import struct_of
 from marketlane.functions.columns import clean_text, to_timestamp
-from marketlane.operators.facts import upsert
+from marketlane.functions.frames import upsert
 from marketlane.sources import tables
 
 KEY = ["source_name", "batch_id", "source_file_name"]

@@ -242,8 +242,13 @@ def reconcile(
 # --- Freshness ---------------------------------------------------------------
 
 
-def source_freshness(raw: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
-    """Age of the newest ingested row per source, against its limits."""
+def source_freshness(
+    raw: Mapping[str, DataFrame], settings: Settings, static: bool = False
+) -> DataFrame:
+    """Age of the newest ingested row per source, against its limits.
+
+    A static data set does not age: nothing is reported for it.
+    """
     rows = []
     for name, limit in settings.freshness.items():
         newest = F.max(F.col("ingested_at_utc").cast("timestamp"))
@@ -265,8 +270,7 @@ def source_freshness(raw: Mapping[str, DataFrame], settings: Settings) -> DataFr
         .when(F.col("age_hours") > F.col("warn_hours"), "warn")
         .otherwise("pass")
     )
-    return (
-        reduce(DataFrame.unionByName, rows)
-        .withColumn("age_hours", age)
-        .withColumn("status", status)
-    )
+    measured = reduce(DataFrame.unionByName, rows)
+    if static:
+        measured = measured.limit(0)
+    return measured.withColumn("age_hours", age).withColumn("status", status)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from marketlane import contracts, session
 from marketlane.functions import mismatch
-from marketlane.operators import cards, facts, quality, snapshots
+from marketlane.functions.frames import upsert
+from marketlane.operators import cards, quality, snapshots
 from marketlane.operators import ledger as L
 from marketlane.operators.assertions import ASSERTIONS
 from marketlane.operators.dimensions import PRODUCT_ATTRIBUTES, SELLER_ATTRIBUTES
@@ -20,7 +21,7 @@ from marketlane.plans.damage import DAMAGE
 from marketlane.plans.oracle_models import checked, with_models
 from marketlane.plans.warehouse import Overlay, Warehouse
 from marketlane.sources import enrichment, landing, raw_files, tables
-from marketlane.sources.registry import METADATA, SOURCES
+from marketlane.sources.registry import SOURCES
 from marketlane.streaming import landing_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -331,7 +332,7 @@ def _earlier_fact(w: Warehouse) -> DataFrame:
 def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
     w = published(spark, folder)
     existing = _earlier_fact(w)
-    return facts.upsert(existing, incremental.replayed_orders(w, existing), ["order_id"]).select(*FACT_COLUMNS)
+    return upsert(existing, incremental.replayed_orders(w, existing), ["order_id"]).select(*FACT_COLUMNS)
 
 
 @register("i1_incremental_partitions", oracle_ingestion.INCREMENTAL_FACT)

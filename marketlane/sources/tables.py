@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from marketlane.functions.frames import upsert
+
 log = logging.getLogger(__name__)
 
 COMPLETED, NO_OP = "completed", "no_op"
@@ -190,18 +192,23 @@ def upsert_partitions(
     merged rows are first written aside, so nothing is overwritten while it is
     still being read and a lost executor cannot make the two steps disagree. A
     partition all of whose rows moved elsewhere is removed.
+
+    When the incoming columns differ from the stored ones, the whole table is
+    written anew with the incoming columns, so all its files agree.
     """
     spark = incoming.sparkSession
     target = current_path(spark, table)
     if target is None:
         return replace_table(incoming, table, [partition], cluster_by)
+    stored = spark.read.parquet(target)
+    if set(stored.columns) != set(incoming.columns):
+        return replace_table(upsert(stored, incoming, key), table, [partition], cluster_by)
     staged = f"{table}/_staged-{uuid.uuid4().hex[:12]}"
     try:
         incoming.write.parquet(f"{staged}/incoming")
         fresh = spark.read.schema(incoming.schema).parquet(f"{staged}/incoming")
-        existing = spark.read.parquet(target)
         touched = (
-            existing.join(fresh.select(*key), list(key), "left_semi")
+            stored.join(fresh.select(*key), list(key), "left_semi")
             .select(partition)
             .unionByName(fresh.select(partition))
             .distinct()
@@ -215,9 +222,7 @@ def upsert_partitions(
         in_touched = F.col(partition).isin(known) if known else F.lit(False)
         if len(known) < len(values):
             in_touched = in_touched | F.col(partition).isNull()
-        kept = existing.filter(in_touched).join(fresh.select(*key), list(key), "left_anti")
-        kept = kept.select(*[c for c in fresh.columns if c in kept.columns])
-        merged = fresh.unionByName(kept, allowMissingColumns=True)
+        merged = upsert(stored.filter(in_touched), fresh, key)
         laid_out(merged, [partition], cluster_by).write.parquet(f"{staged}/merged")
         merged = spark.read.schema(incoming.schema).parquet(f"{staged}/merged")
 

@@ -12,7 +12,7 @@ from marketlane.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     session = local_session(
         "4",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")

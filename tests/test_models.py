@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlane import contracts
-from marketlane.functions.frames import number_within_key
+from marketlane.functions.frames import number_within_key, upsert
 from marketlane.operators import cards, dimensions, facts, intermediate, marts
 from marketlane.settings import Settings
 
@@ -221,7 +221,7 @@ def test_seller_days_and_single_seller_orders(spark, delivery):
 def test_upsert_replaces_adds_and_follows_the_new_columns(spark):
     existing = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, v int, gone string")
     incoming = spark.createDataFrame([("b", 3, True), ("c", 4, False)], "k string, v int, added boolean")
-    rows = facts.upsert(existing, incoming, ["k"]).orderBy("k").collect()
+    rows = upsert(existing, incoming, ["k"]).orderBy("k").collect()
     assert [tuple(r) for r in rows] == [("a", 1, None), ("b", 3, True), ("c", 4, False)]
 
 

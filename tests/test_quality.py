@@ -122,3 +122,4 @@ def test_freshness(spark, hours, status):
     assert (row["status"], row["age_hours"]) == (status, float(hours))
     (row,) = quality.source_freshness({"orders": frame.limit(0)}, only).collect()
     assert row["status"] == "error"
+    assert quality.source_freshness({"orders": frame}, only, static=True).count() == 0

@@ -140,6 +140,17 @@ def test_upsert_touches_only_the_partitions_it_must(spark, tmp_path):
     assert not list((tmp_path / "t").glob("_staged*"))
 
 
+def test_upsert_with_other_columns_rewrites_the_table(spark, tmp_path):
+    table = str(tmp_path / "t")
+    old = spark.createDataFrame([("a", "d1", 1), ("b", "d2", 2)], "k string, day string, gone int")
+    tables.replace_table(old, table, ["day"])
+    new = spark.createDataFrame([("b", "d3", True)], "k string, day string, added boolean")
+    tables.upsert_partitions(new, table, ["k"], "day")
+    rows = tables.read_table(spark, table).select("k", "day", "added").orderBy("k").collect()
+    assert [tuple(r) for r in rows] == [("a", "d1", None), ("b", "d3", True)]
+    assert "gone" not in tables.read_table(spark, table).columns
+
+
 def test_holidays(spark, tmp_path):
     records = [
         {
