@@ -85,20 +85,20 @@ def _malformed(column: str) -> Column:
 
 
 def order_windows(raw_orders: DataFrame, lookback_days: int, by: list[str]) -> DataFrame:
-    """Holiday window (purchases) and weather window (deliveries) per group.
+    """Rows, holiday window (purchases) and weather window (deliveries) per group.
 
     The weather window starts ``lookback_days`` early. Text that is neither blank
     nor a timestamp is counted per column; callers decide (``require_well_formed``).
     """
     bought, delivered = (F.to_date(to_timestamp(c)) for c in WINDOW_SOURCES)
-    windows = raw_orders.groupBy(*by).agg(
+    return raw_orders.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("raw_loaded_rows"),
         F.min(bought).alias(WINDOW_COLUMNS[0]),
         F.max(bought).alias(WINDOW_COLUMNS[1]),
         F.date_sub(F.min(delivered), lookback_days).alias(WINDOW_COLUMNS[2]),
         F.max(delivered).alias(WINDOW_COLUMNS[3]),
         *[F.count_if(_malformed(c)).alias(f"malformed_{c}") for c in WINDOW_SOURCES],
     )
-    return windows
 
 
 def require_well_formed(raw_orders: DataFrame, columns: tuple[str, ...] = WINDOW_SOURCES) -> None:
@@ -144,15 +144,16 @@ def merged_windows(pending: DataFrame) -> DataFrame:
 
 
 def loaded_rows(
-    loads: DataFrame, windows: DataFrame, prior: DataFrame, now: Column, job_id: str | None = None
+    loads: DataFrame, prior: DataFrame, now: Column, job_id: str | None = None
 ) -> DataFrame:
     """Ledger rows of files just loaded.
 
-    ``loads`` has the key, ``raw_table_id`` and ``raw_loaded_rows``; ``windows``
-    has the key and the window columns, for orders. An order file waits for each
-    enrichment it has a window for; anything else is published at once. The first
-    creation time is kept.
+    ``loads`` has the key, ``raw_table_id`` and ``raw_loaded_rows``, and for orders
+    the window columns. An order file waits for each enrichment it has a window
+    for; anything else is published at once. The first creation time is kept.
     """
+    absent = [c for c in WINDOW_COLUMNS if c not in loads.columns]
+    loads = loads.withColumns({c: F.lit(None).cast("date") for c in absent})
     is_order = F.col("source_name") == ORDERS
 
     def status(kind: str) -> Column:
@@ -162,8 +163,7 @@ def loaded_rows(
     created = prior.select(*KEY, F.col("created_at_utc").alias("_created"))
     waiting = (F.col("holiday_status") == PENDING) | (F.col("weather_status") == PENDING)
     return (
-        loads.join(windows.select(*KEY, *WINDOW_COLUMNS), KEY, "left")
-        .join(created, KEY, "left")
+        loads.join(created, KEY, "left")
         .withColumns({"holiday_status": status(HOLIDAY), "weather_status": status(WEATHER)})
         .withColumns(
             {

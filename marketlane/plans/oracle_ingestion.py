@@ -402,7 +402,8 @@ def ledger(columns: str, sql: str, *needed: str) -> str:
 
 
 WINDOWS = ledger(
-    f"{_BATCH} {_WINDOW} malformed_order_purchase_timestamp:n malformed_order_delivered_customer_date:n",
+    f"{_BATCH} raw_loaded_rows:n {_WINDOW} malformed_order_purchase_timestamp:n "
+    "malformed_order_delivered_customer_date:n",
     """SELECT *, 0 AS malformed_order_purchase_timestamp, 0 AS malformed_order_delivered_customer_date
     FROM loaded""",
 )

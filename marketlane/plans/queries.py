@@ -30,7 +30,10 @@ QUERIES: dict[str, tuple[Query, str | None]] = {}
 
 def register(name: str, sql: str | None = None):
     def keep(function: Query) -> Query:
-        QUERIES[name] = (lambda spark, folder: edge(function(spark, folder)), sql)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return edge(function(session.prepare(spark), folder))
+
+        QUERIES[name] = (run, sql)
         return function
 
     return keep
@@ -544,11 +547,9 @@ def _windows(spark: SparkSession, folder: str) -> DataFrame:
 
 def _loaded(spark: SparkSession, folder: str) -> DataFrame:
     """Ledger after a first load: a row per monthly order batch."""
-    loads = _keyed_orders(spark, folder).groupBy(*L.KEY).agg(
-        F.lit("raw/orders").alias("raw_table_id"), F.count(F.lit(1)).alias("raw_loaded_rows")
-    )
+    loads = _windows(spark, folder).withColumn("raw_table_id", F.lit("raw/orders"))
     nothing = spark.createDataFrame([], L.LEDGER_SCHEMA)
-    return L.loaded_rows(loads, _windows(spark, folder), nothing, _at(MOMENT))
+    return L.loaded_rows(loads, nothing, _at(MOMENT))
 
 
 def _after_holidays(spark: SparkSession, folder: str) -> DataFrame:

@@ -221,13 +221,13 @@ def incremental_load(
         )
         prior = L.read_ledger(spark, store.ledger)
         try:
-            loads, windows = load_batches(
+            loads = load_batches(
                 spark, landing_folder, [r["path"] for r in mine], spec, store, settings, moment
             )
             rows = key_rows.join(loads, L.KEY, "left").withColumn(
                 "raw_loaded_rows", F.coalesce("raw_loaded_rows", F.lit(0))
             )
-            save_ledger(spark, store, L.loaded_rows(rows, windows, prior, now))
+            save_ledger(spark, store, L.loaded_rows(rows, prior, now))
         except Exception as problem:
             save_ledger(spark, store, L.failed_rows(key_rows, prior, problem, now))
             raise
@@ -267,7 +267,7 @@ def load_batches(
     store: Store,
     settings: Settings,
     moment: datetime,
-) -> tuple[DataFrame, DataFrame]:
+) -> DataFrame:
     """Load files of one source; gives rows per file and, for orders, their windows."""
     frame = read_batch_files(spark, root, paths, spec, moment)
     if spec.name == L.ORDERS:
@@ -280,11 +280,9 @@ def load_batches(
         .filter(F.col("ingested_at_utc") == F.lit(moment).cast("timestamp"))
         .withColumn("source_name", F.lit(spec.name))
     )
-    loads = keyed.groupBy(*L.KEY).agg(F.count(F.lit(1)).alias("raw_loaded_rows"))
     if spec.name == L.ORDERS:
-        return loads, L.order_windows(keyed, settings.weather_lookback_days, L.KEY)
-    empty = spark.createDataFrame([], L.LEDGER_SCHEMA).select(*L.KEY, *L.WINDOW_COLUMNS)
-    return loads, empty
+        return L.order_windows(keyed, settings.weather_lookback_days, L.KEY)
+    return keyed.groupBy(*L.KEY).agg(F.count(F.lit(1)).alias("raw_loaded_rows"))
 
 
 def _window(row, kind: str) -> Window:

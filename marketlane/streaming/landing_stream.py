@@ -61,16 +61,14 @@ def start_load(
         whole = stored.join(touched, ["batch_id", "source_file_name"], "left_semi").withColumn(
             "source_name", F.lit(source)
         )
-        loads = whole.groupBy(*L.KEY).agg(
-            F.lit(table).alias("raw_table_id"), F.count(F.lit(1)).alias("raw_loaded_rows")
-        )
         if source == L.ORDERS:
             L.require_well_formed(whole)
-            windows = L.order_windows(whole, settings.weather_lookback_days, L.KEY)
+            loads = L.order_windows(whole, settings.weather_lookback_days, L.KEY)
         else:
-            windows = session.createDataFrame([], L.LEDGER_SCHEMA)
+            loads = whole.groupBy(*L.KEY).agg(F.count(F.lit(1)).alias("raw_loaded_rows"))
+        loads = loads.withColumn("raw_table_id", F.lit(table))
         prior = L.read_ledger(session, store.ledger)
-        save_ledger(session, store, L.loaded_rows(loads, windows, prior, now))
+        save_ledger(session, store, L.loaded_rows(loads, prior, now))
 
     return (
         landing_stream(spark, landing, spec)
