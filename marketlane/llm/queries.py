@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import chat, decontamination, mixing, near_duplicates, neighbours, quality, secret_scan, token_counts
+from marketlane.llm import (
+    chat,
+    decontamination,
+    licenses,
+    mixing,
+    near_duplicates,
+    neighbours,
+    quality,
+    secret_scan,
+    token_counts,
+    url_rules,
+)
 from marketlane.llm.common import table
 
 
@@ -20,6 +31,10 @@ def op1_latent_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (F.size(items) > 0).alias("contaminated"), items.alias("item_ids"))
 
 
+def op2_redirect_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judged(table(spark, folder, "pages"))
+
+
 def op3_curriculum_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.digest(table(spark, folder, "documents"))
 
@@ -34,6 +49,10 @@ def op5_randomness_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digest(table(spark, folder, "documents"))
 
 
+def op6_license_inheritance(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.digest(table(spark, folder, "documents"))
+
+
 def op7_typed_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest(chat.probe(table(spark, folder, "conversations")))
 
@@ -62,9 +81,11 @@ def op10_bag_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_latent_decontamination": op1_latent_decontamination,
+        "op2_redirect_rules": op2_redirect_rules,
         "op3_curriculum_mixing": op3_curriculum_mixing,
         "op4_cross_polytope": op4_cross_polytope,
         "op5_randomness_secrets": op5_randomness_secrets,
+        "op6_license_inheritance": op6_license_inheritance,
         "op7_typed_chat": op7_typed_chat,
         "op8_neighbour_quality": op8_neighbour_quality,
         "op9_prefix_tokens": op9_prefix_tokens,
@@ -74,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_redirect_rules": url_rules.judged_sql(),
         "op3_curriculum_mixing": mixing.DIGEST_SQL,
         "op7_typed_chat": chat.DIGEST_SQL,
     }
