@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_neighbour_quality": op8_neighbour_quality,
         "op9_prefix_tokens": op9_prefix_tokens,
         "op10_bag_minhash": op10_bag_minhash,
+        "pipeline": corpus_pipeline.run,
     }
 
 
