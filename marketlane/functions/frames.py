@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 RECENCY = ("ingested_at_utc", "batch_id")
 
@@ -45,40 +46,42 @@ def number_within_key(
     instant: str,
     order: Sequence[str],
     output: str,
-    share: int = 1000,
+    unit: str = "minute",
 ) -> DataFrame:
     """Number the rows of each key by ``instant`` then ``order``, hot keys included.
 
-    A plain window puts all rows of a key into one task. Here a key holding more
-    than ``1/share`` of all rows is cut into minutes; each minute is numbered on its
-    own and shifted by the rows of the earlier ones. There can be at most ``share``
-    such keys, whatever the data size, so their list is safe to broadcast. All
-    other keys form a single slice and are numbered as usual.
+    A plain window puts all rows of a key into one task. Here every key, NULL included, is
+    cut into slices: a time unit each, and where the instant is NULL (those rows come
+    first) the leading characters of a first ordering column that is text. Each slice is
+    numbered on its own and shifted by the rows of the earlier ones, so a task holds a
+    slice, and the running counts of a key are one row per slice.
     """
-    # NULL instants come first; a key that is not cut is one slice of its own.
-    first = F.lit("0001-01-01").cast("timestamp")
-    whole = F.lit("9999-12-31").cast("timestamp")
-    minute = F.coalesce(F.date_trunc("minute", instant), first)
-    by_minute = frame.groupBy(key, minute.alias("_slice")).agg(F.count(F.lit(1)).alias("_rows"))
-    sizes = by_minute.groupBy(key).agg(F.sum("_rows").alias("_rows"))
-    total = sizes.agg(F.sum("_rows")).scalar()
-    hot = sizes.filter(F.col("_rows") * share > total).select(key, F.lit(True).alias("_hot"))
-
-    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
+    lead = frame.schema[order[0]].dataType if order else None
+    prefix = F.substring(F.col(order[0]), 1, 4) if isinstance(lead, StringType) else F.lit(None).cast("string")
+    cut = frame.withColumn("_slice", F.date_trunc(unit, instant)).withColumn(
+        "_lead", F.when(F.col(instant).isNull(), prefix)
     )
-    shifts = by_minute.join(F.broadcast(hot), key).select(
-        key, "_slice", F.sum("_rows").over(earlier).alias("_shift")
+    sizes = cut.groupBy(key, "_slice", "_lead").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = (
+        Window.partitionBy(key)
+        .orderBy(F.asc_nulls_first("_slice"), F.asc_nulls_first("_lead"))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    sliced = frame.join(F.broadcast(hot), key, "left").withColumn(
-        "_slice", F.when(F.col("_hot"), minute).otherwise(whole)
+    shifts = sizes.select(
+        F.col(key).alias("_key"), F.col("_slice").alias("_at"), F.col("_lead").alias("_from"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"),
     )
-    inside = Window.partitionBy(key, "_slice").orderBy(
+    inside = Window.partitionBy(key, "_slice", "_lead").orderBy(
         F.asc_nulls_first(instant), *[F.asc_nulls_first(c) for c in order]
     )
+    same = (
+        F.col(key).eqNullSafe(F.col("_key"))
+        & F.col("_slice").eqNullSafe(F.col("_at"))
+        & F.col("_lead").eqNullSafe(F.col("_from"))
+    )
     return (
-        sliced.withColumn("_number", F.row_number().over(inside).cast("bigint"))
-        .join(shifts, [key, "_slice"], "left")
-        .withColumn(output, F.col("_number") + F.coalesce("_shift", F.lit(0)))
-        .drop("_hot", "_slice", "_number", "_shift")
+        cut.withColumn("_number", F.row_number().over(inside).cast("bigint"))
+        .join(shifts, same)
+        .withColumn(output, F.col("_number") + F.col("_shift"))
+        .drop("_slice", "_lead", "_key", "_at", "_from", "_shift", "_number")
     )

@@ -24,7 +24,6 @@ from marketlane.functions.columns import (
     money_ratio,
     ratio,
 )
-from marketlane.operators import intermediate
 from marketlane.operators.dimensions import PRODUCT_ATTRIBUTES, SELLER_ATTRIBUTES
 from marketlane.operators.quality import reconcile
 from marketlane.operators.snapshots import noop_versions
@@ -586,8 +585,30 @@ def seller_days_reconcile(w) -> DataFrame:
 
 
 def attributable_experience_reconciles(w) -> DataFrame:
-    expected = intermediate.int_seller_attributable_experience(
-        w["fact_order_items"], w["fact_orders"], w["int_order_review_metrics"], w.settings
+    # Recomputed another way: distinct sellers are counted, and low scores follow from the
+    # review rows themselves instead of their metrics.
+    single = (
+        w["fact_order_items"].groupBy("order_id")
+        .agg(F.count_distinct("seller_id").alias("sellers"), F.max("seller_id").alias("seller_id"))
+        .filter("sellers = 1")
+        .select("order_id", "seller_id")
+    )
+    reviews = w["fact_reviews"].groupBy("order_id").agg(
+        F.avg("review_score").alias("mean_score"), F.count(F.lit(1)).alias("review_rows")
+    )
+    dates = w["fact_orders"].select("order_id", F.col("purchase_date").alias("calendar_date"))
+    metrics = w["int_order_review_metrics"].select(
+        "order_id", "reviews_count", "commented_reviews_count",
+        "avg_review_score_for_order", "avg_time_to_review_days_for_order",
+    )
+    expected = (
+        single.join(dates, "order_id").join(reviews, "order_id", "left").join(metrics, "order_id", "left")
+        .withColumn("is_reviewed_order", F.coalesce(F.col("review_rows") > 0, F.lit(False)))
+        .withColumn(
+            "is_low_review_order",
+            F.when(F.col("mean_score") <= w.settings.low_review_score, True).otherwise(False),
+        )
+        .drop("mean_score", "review_rows")
     )
     return reconcile(
         expected,

@@ -21,8 +21,15 @@ def settings() -> Settings:
     return Settings(now=NOW)
 
 
+def _state(spark: SparkSession, folder: str) -> tuple[int, ...]:
+    """Sizes and times of what lies in a folder: a changed folder is another folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(x for s in files.listStatus(path) for x in (s.getLen(), s.getModificationTime()))
+
+
 def _once(spark: SparkSession, folder: str, what: str, make):
-    key = (spark.sparkContext.applicationId, folder, what)
+    key = (spark.sparkContext.applicationId, folder, _state(spark, folder), what)
     if key not in _CACHE:
         _CACHE[key] = make()
     return _CACHE[key]

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlane.operators import ledger as L
+from marketlane.session import fresh_folder
 from marketlane.settings import Settings
 from marketlane.sources import enrichment, landing, raw_files, tables
 from marketlane.sources.registry import METADATA, SOURCES, SourceSpec
 
 Window = tuple[date, date] | None
-BATCH_PARTITION = "batch_partition"
-# A run saves the ledger once per source and status change, and compares its last
-# state with its first: versions must outlive a run.
-LEDGER_VERSIONS = 50
+# Every raw table, however it is loaded, has a partition per batch and physical file: what
+# is loaded again replaces itself, and nothing else.
+BATCH_PARTITION, FILE_PARTITION = "batch_partition", "file_partition"
+LOAD = [BATCH_PARTITION, FILE_PARTITION]
+LEDGER_TRIES = 5
 
 
 @dataclass(frozen=True)
@@ -66,6 +70,15 @@ class Enrichment:
     location: enrichment.WeatherLocation = enrichment.WeatherLocation("sao_paulo", -23.55, -46.63)
 
 
+def with_load(frame: DataFrame, part: Column | None = None) -> DataFrame:
+    """Add the partition of a raw row: its batch, and its file with the part it came in.
+
+    The prefixes keep ids such as 0007 from being read back as numbers.
+    """
+    name = F.concat(F.lit("f_"), "source_file_name", F.lit("|"), part if part is not None else F.lit(""))
+    return frame.withColumn(BATCH_PARTITION, F.concat(F.lit("b_"), "batch_id")).withColumn(FILE_PARTITION, name)
+
+
 def bootstrap_load(
     spark: SparkSession,
     files: dict[str, str],
@@ -81,7 +94,7 @@ def bootstrap_load(
     for name, spec in SOURCES.items():
         if name in files:
             frame = raw_files.prepare_raw(spark, files[name], spec, ingested_at=moment)
-            rows += tables.replace_table(frame, store.raw(name)).loaded_rows
+            rows += tables.replace_table(with_load(frame), store.raw(name), LOAD).loaded_rows
             loaded += 1
     wants_dates = extras.holidays_json or extras.weather_json
     if wants_dates and date_range is None:
@@ -164,7 +177,9 @@ def read_batch_files(
         by_header.setdefault(tuple(raw_files.header_names(spark, path)), []).append(path)
     frames = []
     for header, same in by_header.items():
-        frame = raw_files.standardize_columns(raw_files.read_csv(spark, same, list(header)))
+        frame = raw_files.standardize_columns(
+            raw_files.read_csv(spark, same, list(header), spec.multi_line)
+        )
         raw_files.require_columns(frame, spec)
         names = frame.columns
         located = frame.select("*", F.col("_metadata.file_path").alias("_path"))
@@ -177,7 +192,8 @@ def read_batch_files(
             F.col("_batch"),
             moment,
         )
-        frames.append(annotated.select(*names, *METADATA))
+        loaded = with_load(annotated, F.substring_index("_path", "/", -1))
+        frames.append(loaded.select(*names, *METADATA, *LOAD))
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame, allowMissingColumns=True)
@@ -185,9 +201,19 @@ def read_batch_files(
 
 
 def save_ledger(spark: SparkSession, store: Store, updates: DataFrame) -> DataFrame:
-    """Upsert ledger rows in the stored ledger; gives the stored result."""
-    merged = L.upsert_ledger(L.read_ledger(spark, store.ledger), updates)
-    tables.replace_table(merged, store.ledger, allow_empty=True, keep=LEDGER_VERSIONS)
+    """Upsert ledger rows in the stored ledger; gives the stored result.
+
+    When another run commits in between, its rows are read and the upsert is done again.
+    """
+    for left in reversed(range(LEDGER_TRIES)):
+        current = tables.current_path(spark, store.ledger)
+        merged = L.upsert_ledger(L.read_ledger(spark, store.ledger), updates)
+        try:
+            tables.replace_table(merged, store.ledger, allow_empty=True, based_on=current)
+            break
+        except tables.ConflictError:
+            if not left:
+                raise
     return L.require_valid(L.read_ledger(spark, store.ledger))
 
 
@@ -200,9 +226,9 @@ def incremental_load(
 ) -> RunSummary:
     """Load unseen files, enrich the orders still waiting, publish what is ready.
 
-    One Spark job per source loads all its new batches. A raw table has a
-    partition per batch and a load replaces whole partitions, so a file loaded
-    again after a crash between load and ledger leaves no double rows.
+    One Spark job per source loads all its new batches. A load replaces the partitions of
+    its own files, so a file loaded again after a crash between load and ledger leaves no
+    double rows, and a file that comes late into a loaded batch removes none.
     """
     extras = extras or Enrichment()
     moment = raw_files.as_utc(settings.now)
@@ -268,21 +294,46 @@ def load_batches(
     settings: Settings,
     moment: datetime,
 ) -> DataFrame:
-    """Load files of one source; gives rows per file and, for orders, their windows."""
+    """Load files of one source; gives rows per file and, for orders, their windows.
+
+    Orders are checked, counted and their windows taken in one pass before anything is
+    written; other sources are counted from the batches just written.
+    """
     frame = read_batch_files(spark, root, paths, spec, moment)
     if spec.name == L.ORDERS:
+        loads = checked_windows(frame, settings)
+        tables.overwrite_partitions(frame, store.raw(spec.name), LOAD)
+        return loads
+    tables.overwrite_partitions(frame, store.raw(spec.name), LOAD)
+    batches = {p.rstrip("/").rsplit("/", 2)[-2] for p in paths}
+    return written_rows(spark, store, spec, batches, F.lit(moment).cast("timestamp"))
+
+
+def checked_windows(frame: DataFrame, settings: Settings) -> DataFrame:
+    """Rows, windows and malformed texts per order file, stored; fails on malformed ones."""
+    spark = frame.sparkSession
+    path = fresh_folder(spark, "order-windows")
+    keyed = frame.withColumn("source_name", F.lit(L.ORDERS))
+    L.order_windows(keyed, settings.weather_lookback_days, L.KEY).write.parquet(path)
+    windows = spark.read.parquet(path)
+    wrong = [F.col(f"malformed_{c}") > 0 for c in L.WINDOW_SOURCES]
+    if not windows.filter(wrong[0] | wrong[1]).isEmpty():
         L.require_well_formed(frame)
-    # The prefix keeps batch ids such as 0007 from being read back as numbers.
-    frame = frame.withColumn(BATCH_PARTITION, F.concat(F.lit("b_"), "batch_id"))
-    tables.overwrite_partitions(frame, store.raw(spec.name), [BATCH_PARTITION])
-    keyed = (
+    return windows
+
+
+def written_rows(
+    spark: SparkSession, store: Store, spec: SourceSpec, folders: Iterable[str], loaded_at: Column
+) -> DataFrame:
+    """Rows per file of a load, from the partitions of its batch folders only."""
+    batches = [f"b_{unquote(f).strip()}" for f in folders]
+    return (
         tables.read_table(spark, store.raw(spec.name))
-        .filter(F.col("ingested_at_utc") == F.lit(moment).cast("timestamp"))
+        .filter(F.col(BATCH_PARTITION).isin(batches) & (F.col("ingested_at_utc") == loaded_at))
         .withColumn("source_name", F.lit(spec.name))
+        .groupBy(*L.KEY)
+        .agg(F.count(F.lit(1)).alias("raw_loaded_rows"))
     )
-    if spec.name == L.ORDERS:
-        return L.order_windows(keyed, settings.weather_lookback_days, L.KEY)
-    return keyed.groupBy(*L.KEY).agg(F.count(F.lit(1)).alias("raw_loaded_rows"))
 
 
 def _window(row, kind: str) -> Window:

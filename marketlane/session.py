@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
+import shutil
 import tempfile
 import uuid
 from functools import cache
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 _RUN_ID = uuid.uuid4().hex[:12]
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Settings the results depend on (time zone) or the plans rely on (AQE)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    # Facts join several one-row-per-order relations in a row; splitting a hot order
-    # in the first join is worth the extra shuffle before the next.
-    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    """The one setting results depend on; everything else is the session's own choice."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        log.warning("session time zone set to UTC: dates follow it")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
@@ -32,6 +33,9 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # Facts join several one-row-per-order relations in a row; splitting a hot order
+        # in the first join is worth the extra shuffle before the next.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -41,15 +45,25 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Only where that is unset (one machine, tests) a temporary folder serves instead.
+    Where that is unset, the warehouse directory serves if it is on a shared file system.
+    A temporary folder serves on a local master only; a cluster without either is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    return folder.rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] == "local":
+        return _own_folder()
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or ""
+    if "://" in warehouse and not warehouse.startswith("file:"):
+        return warehouse.rstrip("/")
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 @cache
 def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="marketlane-")
+    folder = tempfile.mkdtemp(prefix="marketlane-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def run_folder(spark: SparkSession, *parts: str) -> str:

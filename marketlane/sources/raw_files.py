@@ -90,13 +90,16 @@ def header_names(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
 
 
-def read_csv(spark: SparkSession, paths: str | Iterable[str], names: list[str]) -> DataFrame:
-    """Header CSV with quoted multi-line text, all columns as text."""
+def read_csv(
+    spark: SparkSession, paths: str | Iterable[str], names: list[str], multi_line: bool = True
+) -> DataFrame:
+    """Header CSV, all columns as text. Files with line breaks inside quotes need
+    ``multi_line``, which makes one task of each; others are split."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("enforceSchema", True)
         .csv(paths if isinstance(paths, str) else list(paths))
@@ -111,6 +114,6 @@ def prepare_raw(
     ingested_at: datetime | None = None,
 ) -> DataFrame:
     """Read, rename, check and annotate one landing file."""
-    frame = read_csv(spark, path, header_names(spark, path))
+    frame = read_csv(spark, path, header_names(spark, path), spec.multi_line)
     frame = require_columns(standardize_columns(frame), spec)
     return add_batch_metadata(frame, path.rstrip("/"), batch_id, ingested_at)

@@ -20,6 +20,11 @@ class SourceSpec:
     file_suffix: str
     columns: tuple[str, ...]
 
+    @property
+    def multi_line(self) -> bool:
+        """Only review texts hold line breaks."""
+        return "review_comment_message" in self.columns
+
     @property
     def schema(self) -> T.StructType:
         """Raw columns are read as text and typed in staging: no inference pass."""

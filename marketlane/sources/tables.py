@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import logging
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import timedelta
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from marketlane.functions.frames import upsert
 
@@ -17,6 +21,7 @@ log = logging.getLogger(__name__)
 
 COMPLETED, NO_OP = "completed", "no_op"
 VERSION_PREFIX = "v="
+MARKER, SCHEMA_FILE, LAYOUT_FILE = "_SUCCESS", "_schema.json", "_layout.json"
 
 
 @dataclass(frozen=True)
@@ -32,6 +37,14 @@ class EmptyInputError(ValueError):
     """Nothing to write where something was expected."""
 
 
+class LayoutError(ValueError):
+    """A table partitioned one way was to be written another way."""
+
+
+class ConflictError(RuntimeError):
+    """Another writer committed first."""
+
+
 def _file_system(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
@@ -47,18 +60,67 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
-def _versions(spark: SparkSession, table: str) -> list[str]:
-    """Complete versions of a table, oldest first. The commit marker comes last."""
+def _version_names(spark: SparkSession, table: str) -> list[str]:
     files, location = _file_system(spark, table)
     if not files.exists(location):
         return []
     names = [s.getPath().getName() for s in files.listStatus(location) if s.isDirectory()]
-    return sorted(
-        name
-        for name in names
-        if name.startswith(VERSION_PREFIX)
-        and path_exists(spark, f"{table}/{name}/_SUCCESS")
-    )
+    return sorted(name for name in names if name.startswith(VERSION_PREFIX))
+
+
+def _versions(spark: SparkSession, table: str) -> list[str]:
+    """Complete versions of a table, oldest first. The commit marker comes last."""
+    return [n for n in _version_names(spark, table) if path_exists(spark, f"{table}/{n}/{MARKER}")]
+
+
+def _claim(spark: SparkSession, table: str) -> str:
+    """A version folder no other writer has: its claim file is created exclusively."""
+    taken = [int(n[len(VERSION_PREFIX) :]) for n in _version_names(spark, table)]
+    number = max(taken, default=0) + 1
+    while True:
+        files, claim = _file_system(spark, f"{table}/_claims/{number:010d}")
+        if files.createNewFile(claim):
+            return f"{table}/{VERSION_PREFIX}{number:010d}"
+        number += 1
+
+
+def _write_text(spark: SparkSession, path: str, text: str, replace: bool) -> None:
+    files, location = _file_system(spark, path)
+    stream = files.create(location, replace)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    files, location = _file_system(spark, path)
+    stream = files.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _schema_of(spark: SparkSession, path: str) -> StructType | None:
+    note = f"{path}/{SCHEMA_FILE}"
+    if not path_exists(spark, note):
+        return None
+    return StructType.fromJson(json.loads(_read_text(spark, note)))
+
+
+def _keep_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Note the columns of a version; columns of later appends are added to it."""
+    known = _schema_of(spark, path)
+    fields = list(known.fields) if known is not None else []
+    types = {f.name: f.dataType for f in fields}
+    for field in schema.fields:
+        if field.name not in types:
+            fields.append(StructField(field.name, field.dataType))
+        elif types[field.name] != field.dataType:
+            raise ValueError(f"{path}: {field.name} is {types[field.name]}, not {field.dataType}")
+    if known is None or len(fields) != len(known.fields):
+        _write_text(spark, f"{path}/{SCHEMA_FILE}", StructType(fields).json(), known is not None)
 
 
 def current_path(spark: SparkSession, table: str) -> str | None:
@@ -70,15 +132,35 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return current_path(spark, table) is not None
 
 
+def partition_columns(spark: SparkSession, table: str) -> tuple[str, ...] | None:
+    """By what the current version is partitioned; None when there is no version."""
+    path = current_path(spark, table)
+    note = f"{path}/{LAYOUT_FILE}"
+    if path is None:
+        return None
+    return tuple(json.loads(_read_text(spark, note))) if path_exists(spark, note) else ()
+
+
+def _require_layout(spark: SparkSession, table: str, partition_by: Sequence[str]) -> None:
+    have = partition_columns(spark, table)
+    if have is not None and have != tuple(partition_by):
+        raise LayoutError(f"{table} is partitioned by {list(have)}, not by {list(partition_by)}")
+
+
 def read_table(spark: SparkSession, table: str, schema: StructType | None = None) -> DataFrame:
-    """Current version; an empty frame when there is none and a schema is given."""
+    """Current version; an empty frame when there is none and a schema is given.
+
+    The columns are those noted with the version: an empty table keeps its schema, and
+    whether a column of a later batch is seen does not hang on one file's footer.
+    """
     path = current_path(spark, table)
     if path is None:
         if schema is None:
             raise FileNotFoundError(f"no such table: {table}")
         return spark.createDataFrame([], schema)
+    schema = schema if schema is not None else _schema_of(spark, path)
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.option("mergeSchema", False).parquet(path)
+    return reader.parquet(path)
 
 
 def laid_out(
@@ -98,9 +180,10 @@ def laid_out(
 
 
 def _write_counted(frame: DataFrame, path: str, mode: str, partition_by: Sequence[str]) -> int:
-    """Write and count in one pass."""
+    """Write without a commit marker and count, in one pass."""
     seen = Observation(f"rows-{uuid.uuid4().hex[:8]}")
     writer = frame.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -113,32 +196,48 @@ def replace_table(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     allow_empty: bool = False,
-    keep: int = 2,
+    keep_for: timedelta = timedelta(days=7),
+    based_on: str | None = None,
 ) -> WriteResult:
     """Replace a table as one step: readers see the old version or the new one.
 
-    The new version is written beside the current one and counts from the moment
-    its commit marker appears. When the write fails the old version stays current,
-    and trouble in cleaning up never hides the first error. The last ``keep``
-    versions remain for readers that started earlier.
+    The new version gets a number no other writer has. It is written, counted and
+    checked, and counts from the moment its commit marker is created. With ``based_on``,
+    the version the frame was derived from, a version committed by someone else in the
+    meantime is a ``ConflictError``. When anything fails the old version stays current,
+    and trouble in cleaning up never hides the first error. Versions stay for readers
+    until ``keep_for`` after they were followed.
     """
     spark = frame.sparkSession
-    number = len(_versions(spark, table)) and int(_versions(spark, table)[-1][2:12])
-    path = f"{table}/{VERSION_PREFIX}{number + 1:010d}-{uuid.uuid4().hex[:8]}"
+    path = _claim(spark, table)
     try:
         rows = _write_counted(
             laid_out(frame, partition_by, cluster_by), path, "errorifexists", partition_by
         )
         if rows == 0 and not allow_empty:
             raise EmptyInputError(f"{table}: input is empty")
+        _keep_schema(spark, path, frame.schema)
+        _write_text(spark, f"{path}/{LAYOUT_FILE}", json.dumps(list(partition_by)), False)
+        if based_on is not None and current_path(spark, table) not in (None, based_on):
+            raise ConflictError(f"{table}: {based_on} is no longer current")
+        _write_text(spark, f"{path}/{MARKER}", "", False)
     except Exception:
         _try_delete(spark, path)
         raise
-    for old in _versions(spark, table)[:-keep]:
-        _try_delete(spark, f"{table}/{old}")
+    _drop_old(spark, table, keep_for)
     return WriteResult(table, "replace", COMPLETED, rows, len(frame.columns))
 
 
+def _drop_old(spark: SparkSession, table: str, keep_for: timedelta) -> None:
+    """Remove versions that were followed by another longer than ``keep_for`` ago."""
+    versions = _versions(spark, table)
+    for old, new in pairwise(versions):
+        files, marker = _file_system(spark, f"{table}/{new}/{MARKER}")
+        followed = files.getFileStatus(marker).getModificationTime() / 1000
+        if time.time() - followed > keep_for.total_seconds():
+            _try_delete(spark, f"{table}/{old}")
+
+
 def _try_delete(spark: SparkSession, path: str) -> None:
     try:
         delete_path(spark, path)
@@ -154,6 +253,8 @@ def append_table(
     path = current_path(spark, table)
     if path is None:
         return replace_table(frame, table, partition_by, allow_empty=allow_empty)
+    _require_layout(spark, table, partition_by)
+    _keep_schema(spark, path, frame.schema)
     rows = _write_counted(frame, path, "append", partition_by)
     if rows == 0:
         if allow_empty:
@@ -163,16 +264,23 @@ def append_table(
 
 
 def overwrite_partitions(frame: DataFrame, table: str, partition_by: Sequence[str]) -> WriteResult:
-    """Replace only the partitions present in the frame; repeating it changes nothing."""
+    """Replace only the partitions present in the frame; repeating it changes nothing.
+
+    This works inside the current version: until it ends, readers may see a partition's
+    old rows, its new ones, or neither.
+    """
     spark = frame.sparkSession
     path = current_path(spark, table)
     if path is None:
         return replace_table(frame, table, partition_by)
+    _require_layout(spark, table, partition_by)
+    _keep_schema(spark, path, frame.schema)
     seen = Observation(f"rows-{uuid.uuid4().hex[:8]}")
     (
         frame.observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
         .partitionBy(*partition_by)
         .parquet(path)
     )
@@ -191,7 +299,8 @@ def upsert_partitions(
     Only partitions holding an incoming key, before or after, are rewritten. The
     merged rows are first written aside, so nothing is overwritten while it is
     still being read and a lost executor cannot make the two steps disagree. A
-    partition all of whose rows moved elsewhere is removed.
+    partition all of whose rows moved elsewhere is removed. As in
+    ``overwrite_partitions``, readers may meanwhile see a moved row twice or not at all.
 
     When the incoming columns differ from the stored ones, the whole table is
     written anew with the incoming columns, so all its files agree.
@@ -200,7 +309,7 @@ def upsert_partitions(
     target = current_path(spark, table)
     if target is None:
         return replace_table(incoming, table, [partition], cluster_by)
-    stored = spark.read.parquet(target)
+    stored = read_table(spark, table)
     if set(stored.columns) != set(incoming.columns):
         return replace_table(upsert(stored, incoming, key), table, [partition], cluster_by)
     staged = f"{table}/_staged-{uuid.uuid4().hex[:12]}"

@@ -192,3 +192,77 @@ def test_stream_drains_and_restarts_without_doubles(spark, tmp_path, store):
     }
     assert rows["orders", "0002"]["weather_status"] == "not_required"
     assert rows["orders", "0001"]["weather_window_start_date"] == date(2026, 1, 5)
+
+
+def sellers(spark, store):
+    return sorted(r["seller_id"] for r in tables.read_table(spark, store.raw("sellers")).collect())
+
+
+def loaded(spark, store):
+    rows = L.read_ledger(spark, store.ledger).filter("raw_status = 'loaded'").collect()
+    return sum(r["raw_loaded_rows"] for r in rows)
+
+
+def test_bootstrap_then_incremental_keeps_all_rows(spark, tmp_path, store):
+    full = tmp_path / "sellers.csv"
+    full.write_text(",".join(SOURCES["sellers"].columns) + "\ns1,1,a,SP\ns2,2,b,RJ\ns3,3,c,MG\n")
+    workflows.bootstrap_load(spark, {"sellers": str(full)}, store, RUN)
+    land(tmp_path / "in", "0001", "sellers", "s4,4,d,SP")
+    workflows.incremental_load(spark, str(tmp_path / "in"), store, RUN)
+    assert sellers(spark, store) == ["s1", "s2", "s3", "s4"]
+
+
+def test_late_file_in_a_loaded_batch_removes_nothing(spark, tmp_path, store):
+    landing = tmp_path / "in"
+    land(landing, "0001", "sellers", "s1,1,a,SP", "s2,2,b,RJ")
+    workflows.incremental_load(spark, str(landing), store, RUN)
+    late = landing / "0001" / "late_sellers_dataset.csv"
+    late.write_text(",".join(SOURCES["sellers"].columns) + "\ns3,3,c,MG\n")
+    workflows.incremental_load(spark, str(landing), store, RUN)
+    assert sellers(spark, store) == ["s1", "s2", "s3"]
+    assert loaded(spark, store) == 3
+
+
+def test_retry_next_to_a_loaded_file(spark, tmp_path, store):
+    landing = tmp_path / "in"
+    land(landing, "0001", "sellers", "s1,1,a,SP")
+    workflows.incremental_load(spark, str(landing), store, RUN)
+    bad = landing / "0001" / "more_sellers_dataset.csv"
+    bad.write_text("seller_id,other\ns2,x\n")
+    with pytest.raises(ValueError, match="missing"):
+        workflows.incremental_load(spark, str(landing), store, RUN)
+    bad.write_text(",".join(SOURCES["sellers"].columns) + "\ns2,2,b,RJ\n")
+    workflows.incremental_load(spark, str(landing), store, RUN)
+    assert sellers(spark, store) == ["s1", "s2"]
+    assert loaded(spark, store) == 2
+
+
+def test_streams_with_new_checkpoints_and_batch_loads_share_a_store(spark, tmp_path, store):
+    def drain(landing, checkpoint):
+        landing_stream.start_load(
+            spark, str(landing), "sellers", store, RUN, str(tmp_path / checkpoint)
+        ).awaitTermination()
+
+    one, two = tmp_path / "one", tmp_path / "two"
+    land(one, "0001", "sellers", "s1,1,a,SP", "s2,2,b,RJ")
+    land(two, "0002", "sellers", "s3,3,c,MG")
+    drain(one, "c1")
+    drain(two, "c2")
+    drain(one, "c3")  # the same files by a stream that does not know them
+    assert sellers(spark, store) == ["s1", "s2", "s3"]
+    land(one, "0004", "sellers", "s4,4,d,SP")
+    workflows.incremental_load(spark, str(one), store, RUN)
+    assert sellers(spark, store) == ["s1", "s2", "s3", "s4"]
+    assert loaded(spark, store) == 4
+
+
+def test_stream_marks_a_malformed_order_file_as_failed(spark, tmp_path, store):
+    landing = tmp_path / "in"
+    land(landing, "0001", "orders", ORDERS[0])
+    land(landing, "0002", "orders", "o9,c9,delivered,yesterday,,,,2026-01-20")
+    landing_stream.start_load(
+        spark, str(landing), "orders", store, RUN, str(tmp_path / "c")
+    ).awaitTermination()
+    states = {batch: row["raw_status"] for (_, batch), row in ledger_rows(spark, store).items()}
+    assert states == {"0001": "loaded", "0002": "failed"}
+    assert [r["order_id"] for r in tables.read_table(spark, store.raw("orders")).collect()] == ["o1"]

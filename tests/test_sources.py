@@ -1,7 +1,7 @@
 """Landing files, stored tables and enrichment payloads."""
 
 import json
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,8 +100,6 @@ def test_replace_is_all_or_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="no"):
         tables.replace_table(broken, table)
     assert tables.read_table(spark, table).count() == 2
-    for _ in range(4):
-        tables.replace_table(spark.range(1), table)
     assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("v=")]) == 2
 
 
@@ -198,3 +196,45 @@ def test_weather_budget():
         enrichment.require_budget(date(2024, 1, 1), date(2024, 1, 3), 2)
     with pytest.raises(ValueError):
         enrichment.call_count(date(2024, 1, 2), date(2024, 1, 1))
+
+
+def test_empty_partitioned_table_keeps_its_schema(spark, tmp_path):
+    table = str(tmp_path / "t")
+    empty = spark.createDataFrame([], "id bigint, day date")
+    tables.replace_table(empty, table, ["day"], allow_empty=True)
+    stored = tables.read_table(spark, table)
+    assert stored.count() == 0 and dict(stored.dtypes) == {"id": "bigint", "day": "date"}
+
+
+def test_another_layout_is_refused_and_new_columns_are_seen(spark, tmp_path):
+    table = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "0007")], "id bigint, batch string")
+    tables.replace_table(rows, table, ["batch"])
+    with pytest.raises(tables.LayoutError):
+        tables.append_table(rows, table)
+    wider = spark.createDataFrame([(2, "0008", "hi")], "id bigint, batch string, note string")
+    tables.overwrite_partitions(wider, table, ["batch"])
+    found = {(r["id"], r["batch"], r["note"]) for r in tables.read_table(spark, table).collect()}
+    assert found == {(1, "0007", None), (2, "0008", "hi")}
+
+
+def test_two_writers_take_different_versions_and_a_late_one_conflicts(spark, tmp_path):
+    table = str(tmp_path / "t")
+    tables.replace_table(spark.range(1), table)
+    base = tables.current_path(spark, table)
+    claimed = tables._claim(spark, table)
+    tables.replace_table(spark.range(2), table, based_on=base)
+    assert tables.current_path(spark, table) != claimed
+    with pytest.raises(tables.ConflictError):
+        tables.replace_table(spark.range(3), table, based_on=base)
+    assert tables.read_table(spark, table).count() == 2
+
+
+def test_versions_stay_by_age(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for n in range(4):
+        tables.replace_table(spark.range(n + 1), table)
+    assert len(tables._versions(spark, table)) == 4
+    tables.replace_table(spark.range(9), table, keep_for=timedelta(0))
+    assert len(tables._versions(spark, table)) <= 2
+    assert tables.read_table(spark, table).count() == 9
