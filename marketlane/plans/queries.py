@@ -345,12 +345,31 @@ def incremental_partitions(spark: SparkSession, folder: str) -> DataFrame:
     table = session.fresh_folder(spark, "fact-orders")
 
     tables.replace_table(
-        incremental.with_month(_earlier_fact(w)), table, [incremental.MONTH], incremental.CLUSTER
+        incremental.with_month(_earlier_fact(w)), table, [incremental.MONTH], incremental.FACT_CLUSTER
     )
     incremental.refresh_fact_orders(spark, w, table)
     return tables.read_table(spark, table).select(*FACT_COLUMNS)
 
 
+@register("i1_publish_twice", oracle_ingestion.FULL_FACT)
+def publish_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """A fact stored by an earlier run with recent orders still processing, then refreshed
+    by a second publish and opened from the folder."""
+    w = published(spark, folder)
+    again = Warehouse(w.raw, w.settings, session.fresh_folder(spark, "published-twice"), day_partitions=False)
+    for name in ("stg_orders", "stg_order_items", "stg_payments", "stg_customers", "int_order_delivery"):
+        again.adopt(name, w[name])
+    last = F.date_sub(w["fact_orders"].agg(F.max("purchase_date")).scalar(), 60)
+    earlier = w["fact_orders"].withColumn(
+        "order_status", F.when(F.col("purchase_date") > last, "processing").otherwise(F.col("order_status"))
+    )
+    table = again.table("fact_orders")
+    tables.replace_table(incremental.with_month(earlier), table, [incremental.MONTH], incremental.FACT_CLUSTER)
+    incremental.refresh_fact_orders(spark, again, table)
+    opened = Warehouse.open(spark, again.folder, w.settings)
+    return opened["fact_orders"].select(*FACT_COLUMNS)
+
+
 @register("i2_full_refresh", oracle_ingestion.FULL_FACT)
 def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     w = published(spark, folder)

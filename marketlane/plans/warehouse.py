@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketlane import contracts
 from marketlane.operators import dimensions, facts, intermediate, marts, staging
@@ -99,7 +100,7 @@ LAYOUT: dict[str, tuple[str | None, tuple[str, ...]]] = {
     "dim_customer": (None, ()),
     "dim_product": (None, ()),
     "dim_seller": (None, ()),
-    "fact_orders": ("purchase_date", ("customer_unique_id", "order_status")),
+    "fact_orders": (None, ()),
     "fact_order_items": (None, ()),
     "fact_reviews": (None, ()),
     "mart_exec_daily": ("calendar_date", ()),
@@ -109,6 +110,16 @@ LAYOUT: dict[str, tuple[str | None, tuple[str, ...]]] = {
     "mart_seller_experience": ("calendar_date", ("seller_id",)),
 }
 
+# The order fact is upserted month by month, whatever layout the others have.
+MONTH = "purchase_month"
+FACT_CLUSTER = ("customer_unique_id", "order_status")
+
+
+def with_month(frame: DataFrame) -> DataFrame:
+    """Partition column of the stored order fact."""
+    return frame.withColumn(MONTH, F.date_format("purchase_date", "yyyy-MM"))
+
+
 PUBLISH_STEPS = (
     tuple(name for name in LAYOUT if name.startswith("stg_")),
     ("dim_date", "dim_customer", "dim_product", "dim_seller", "order_customers"),
@@ -126,8 +137,9 @@ class Warehouse:
     Without a ``folder`` everything is one lazy plan. With one, a stored table is
     written there the first time it is asked for and read back from then on, so
     facts and marts are computed once however many marts, cards and checks use
-    them. ``day_partitions`` gives them the directory-per-day layout, which suits
-    large tables; small ones are only sorted.
+    them. ``day_partitions`` gives marts the directory-per-day layout, which suits
+    large tables; small ones are only sorted. The order fact has a directory per month.
+    With ``reuse``, tables already stored in the folder are read and not built again.
     """
 
     def __init__(
@@ -136,21 +148,58 @@ class Warehouse:
         settings: Settings | None = None,
         folder: str | None = None,
         day_partitions: bool = True,
+        reuse: bool = False,
     ):
         self.raw = raw
         self.settings = settings or Settings()
         self.folder = folder
         self.day_partitions = day_partitions
+        self.reuse = reuse
         self._built: dict[str, DataFrame] = {}
 
+    @classmethod
+    def open(
+        cls,
+        spark: SparkSession,
+        folder: str,
+        settings: Settings | None = None,
+        raw: Mapping[str, DataFrame] | None = None,
+    ) -> Warehouse:
+        """A published warehouse: stored tables are read as they are.
+
+        Relations that are not stored follow from those that are; ones that need raw rows
+        can only be asked for when ``raw`` is given.
+        """
+        opened = cls(raw or {}, settings, folder, reuse=True)
+        opened.spark = spark
+        return opened
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            frame = RELATIONS[name](self)
-            if self.folder is not None and name in LAYOUT:
-                frame = self._store(name, frame)
+            stored = self.folder is not None and name in LAYOUT
+            frame = self.read(name) if stored and self.reuse else None
+            if frame is None:
+                frame = RELATIONS[name](self)
+                if stored:
+                    frame = self._store(name, frame)
             self._built[name] = frame
         return self._built[name]
 
+    def adopt(self, name: str, frame: DataFrame) -> None:
+        """Use a frame as a relation from now on."""
+        self._built[name] = frame
+
+    def table(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def read(self, name: str) -> DataFrame | None:
+        """The stored table of a relation, or None when there is none yet."""
+        spark = getattr(self, "spark", None) or SparkSession.active()
+        if not tables.table_exists(spark, self.table(name)):
+            return None
+        frame = tables.read_table(spark, self.table(name))
+        return frame.drop(MONTH) if name == "fact_orders" else frame
+
     def _store(self, name: str, frame: DataFrame) -> DataFrame:
         day, cluster = LAYOUT[name]
         if name in contracts.MART_COLUMNS:
@@ -158,10 +207,11 @@ class Warehouse:
         partition_by = [day] if day and self.day_partitions else []
         if day and not self.day_partitions:
             cluster = (day, *cluster)
-        table = f"{self.folder}/{name}"
-        tables.replace_table(frame, table, partition_by, cluster, allow_empty=True)
-        stored = tables.read_table(frame.sparkSession, table)
-        return stored.select(*frame.columns)
+        written = frame
+        if name == "fact_orders":
+            written, partition_by, cluster = with_month(frame), [MONTH], FACT_CLUSTER
+        tables.replace_table(written, self.table(name), partition_by, cluster, allow_empty=True)
+        return tables.read_table(frame.sparkSession, self.table(name)).select(*frame.columns)
 
     def publish(self, at_once: int = 4) -> dict[str, DataFrame]:
         """Build all stored tables, several Spark jobs at a time.
