@@ -176,3 +176,40 @@ CARDS = {
         "operational_defect_rate", "operational_defect_orders_count", "orders_count"
     ),
 }
+
+
+# The cards once more with the filters a dashboard sets: arguments, and the same as SQL
+# over the card's mart.
+DATES = ("2000-02-10", "2001-04-20")
+_WITHIN = "{} BETWEEN DATE '2000-02-10' AND DATE '2001-04-20'"
+STATES = ["NATION_3", "NATION_7", "NATION_11"]
+_STATES = "customer_state IN ('NATION_3', 'NATION_7', 'NATION_11')"
+BUCKETS = ["on_time", "1_to_3_days", "8_to_14_days"]
+_FACETS = {
+    "fulfillment_delay_bucket_distribution": (
+        {"delivery_delay_bucket": BUCKETS},
+        "delivery_delay_bucket IN ('on_time', '1_to_3_days', '8_to_14_days')",
+    ),
+    "fulfillment_cancelled_order_trend": ({"holiday_flag": False}, "NOT is_purchase_on_holiday"),
+    "fulfillment_late_rate_by_temperature_bucket": ({"holiday_flag": False}, "NOT is_purchase_on_holiday"),
+}
+SELLER_STATES = [f"NATION_{n}" for n in range(15)]
+_OF_STATE = "seller_id IN (SELECT seller_id FROM dim_seller WHERE seller_state IN ({}))".format(
+    ", ".join(f"'{s}'" for s in SELLER_STATES)
+)
+
+
+def filtered(name: str) -> tuple[dict, str]:
+    """Filter arguments of a card, and its SQL under them."""
+    if name.startswith("exec_"):
+        mart, arguments, tests = "mart_exec_daily", {}, [_WITHIN.format("calendar_date")]
+    elif name.startswith("fulfillment_"):
+        more, test = _FACETS.get(name, ({"customer_state": STATES}, _STATES))
+        mart, arguments, tests = OPS, more, [_WITHIN.format("purchase_date"), test]
+    else:
+        mart, arguments, tests = "mart_seller_performance", {"seller_state": SELLER_STATES}, [_WITHIN.format("calendar_date"), _OF_STATE]
+    plain = CARDS[name]
+    sql = plain.replace(f"FROM {mart}", f"FROM (SELECT * FROM {mart} WHERE {' AND '.join(tests)})")
+    if sql == plain:
+        raise ValueError(f"{name}: its SQL does not read {mart}")
+    return {"date_range": DATES, **arguments}, sql
