@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from marketlane.session import fresh_folder
+from marketlane.sources.tables import delete_path
 
 #: Text handled at once inside a Python task; a longer text is handled alone.
 CHUNK_BYTES = 1 << 20
@@ -23,16 +26,58 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
+#: Rows of a small table that one file and one task take.
+ROWS_PER_FILE = 100_000
+
+
+def stored(frame: DataFrame, label: str, most: int | None = None) -> DataFrame:
     """The frame written once to the shared folder and read back.
 
     Cuts the lineage: a lost executor costs a reread, and what was drawn or
-    numbered before stays as it was.
+    numbered before stays as it was. ``most``, a bound on the rows of a frame whose
+    last step reads little more than it gives, keeps small tables in few files.
     """
-    spark = frame.sparkSession
+    return stored_counted(frame, label, most)[0]
+
+
+def stored_counted(frame: DataFrame, label: str, most: int | None = None) -> tuple[DataFrame, int]:
+    """``stored``, and the number of rows."""
+    spark, seen = frame.sparkSession, Observation()
     path = fresh_folder(spark, label)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    schema = frame.schema
+    if most is not None:
+        frame = frame.coalesce(most // ROWS_PER_FILE + 1)
+    frame.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.stored_at = path
+    if _scratch:
+        _scratch[-1].append(path)
+    return out, int(seen.get["rows"] or 0)
+
+
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables stored inside are removed at the end, but for those passed to the function
+    this gives: what is returned must rest on those alone."""
+    paths: list[str] = []
+    kept: list[str] = []
+
+    def keep(frame: DataFrame) -> DataFrame:
+        kept.append(frame.stored_at)
+        return frame
+
+    _scratch.append(paths)
+    try:
+        yield keep
+    finally:
+        _scratch.pop()
+        if _scratch:
+            _scratch[-1].extend(kept)
+        for path in set(paths) - set(kept):
+            delete_path(spark, path)
 
 
 def fresh_name(frame: DataFrame, wish: str) -> str:

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlane.llm.common import fresh_name, stored, without
+from marketlane.llm.common import fresh_name, scratch, stored, without
 
 WORD = r"[^\x20\x09-\x0D]+"
 Schedule = tuple[tuple[float, float], ...]
@@ -123,20 +123,12 @@ def _placed(sized: DataFrame, curriculum: Curriculum, key: str, source: str) ->
     # The shuffled order is that of a digest of the key; its first digits are the bucket.
     rows = sized.withColumn(order, F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")))
     rows = rows.withColumn(bucket, F.substring(order, 1, curriculum.bucket_digits))
-    sums = rows.groupBy(F.col(source).alias("_source"), F.col(bucket).alias("_b")).agg(F.sum("size").alias("_sum"))
-    sums = stored(sums, "bucket-sums")
-    per = stored(source_targets(sums, curriculum), "source-targets")
-    earlier = Window.partitionBy("_source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sums.withColumn(temp["_before"], F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
-    shifts = shifts.select(F.col("_source").alias("_s"), "_b", temp["_before"])
-    offsets = per.join(shifts, F.col("_source").eqNullSafe(F.col("_s"))).select(
-        F.col("_source").alias(temp["_source"]), "_b", F.col("number").alias(number), "source_size", "target", temp["_before"]
-    )
+    with scratch(sized.sparkSession) as keep:
+        offsets = keep(_offsets(rows, source, bucket, curriculum, temp))
     inside = Window.partitionBy(source, bucket).orderBy(order, "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn(temp["_own"], F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rows = rows.join(
-        stored(offsets, "bucket-offsets"),
-        F.col(source).eqNullSafe(F.col(temp["_source"])) & (F.col(bucket) == F.col("_b")),
+        offsets, F.col(source).eqNullSafe(F.col(temp["_source"])) & (F.col(bucket) == F.col("_b"))
     )
 
     place = F.col(temp["_own"]) + F.col(temp["_before"])
@@ -151,6 +143,20 @@ def _placed(sized: DataFrame, curriculum: Curriculum, key: str, source: str) ->
     )
 
 
+def _offsets(rows: DataFrame, source: str, bucket: str, curriculum: Curriculum, temp: dict[str, str]) -> DataFrame:
+    """Words before each bucket of each source, with the source's number and target."""
+    sums = rows.groupBy(F.col(source).alias("_source"), F.col(bucket).alias("_b")).agg(F.sum("size").alias("_sum"))
+    sums = stored(sums, "bucket-sums")
+    per = stored(source_targets(sums, curriculum), "source-targets")
+    earlier = Window.partitionBy("_source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sums.withColumn(temp["_before"], F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+    shifts = shifts.select(F.col("_source").alias("_s"), "_b", temp["_before"])
+    offsets = per.join(shifts, F.col("_source").eqNullSafe(F.col("_s"))).select(
+        F.col("_source").alias(temp["_source"]), "_b", F.col("number").alias(temp["_number"]), "source_size", "target", temp["_before"]
+    )
+    return stored(offsets, "bucket-offsets")
+
+
 def mixed(docs: DataFrame, curriculum: Curriculum | None = None, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """``placed``, range-sorted by training position; documents the mix leaves out come last."""
     rows = placed(docs, curriculum, key, source, text)

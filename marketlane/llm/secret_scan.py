@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from marketlane.llm.common import fresh_name, raw_bytes, slices, stored, with_text_columns, without
+from marketlane.llm.common import fresh_name, raw_bytes, slices, with_text_columns, without
 
 # Kinds, in the order in which spans at one place are listed.
 KINDS = ("assign", "access", "hex", "random")
@@ -243,10 +243,11 @@ def with_secrets(
     docs = without(docs, [column])
     keep = docs.columns if keep is None else keep
     base, runs = fresh_name(docs, "_base"), fresh_name(docs, "_runs")
-    found = stored(
-        with_findings(docs, usage_of(docs, text), rules, text, base, runs, keep), "secret-findings"
-    )
-    least = thresholds(found, runs, rules)
+    usage = usage_of(docs, text)
+    # Texts are scanned once for the thresholds and once more for the result: what is
+    # kept in between is a count per length class and step, not a copy of the corpus.
+    least = thresholds(with_findings(docs, usage, rules, text, base, runs, []), runs, rules)
+    found = with_findings(docs, usage, rules, text, base, runs, keep)
     hit = F.lit(False)
     extra = F.array().cast(ArrayType(SPAN))
     if least:
