@@ -36,7 +36,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from marketlane.llm.common import fresh_name, hashed_words, stored, with_text_columns, without
+from marketlane.llm.common import fresh_name, hashed_words, scratch, stored, with_text_columns, without
 
 MATCH = StructType(
     [
@@ -134,13 +134,14 @@ def _norms(tile: np.ndarray, values: np.ndarray, tiles: int) -> np.ndarray:
     return np.bincount(tile, weights=values * values, minlength=tiles)
 
 
-def _row_sums(groups: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
-    """Sums of ``rows`` by ascending group number, count x columns."""
-    out = np.zeros((count, rows.shape[1]), dtype=np.float32)
-    if len(groups):
-        starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
-        out[groups[starts]] = np.add.reduceat(rows, starts, axis=0)
-    return out
+def _add_products(out: np.ndarray, group: np.ndarray, index: np.ndarray, value: np.ndarray, matrix: np.ndarray) -> None:
+    """out[group] += value * matrix[index], groups ascending; in pieces that stay in cache."""
+    for at in range(0, len(group), 512):
+        own = group[at : at + 512]
+        rows = matrix[index[at : at + 512]]
+        rows *= value[at : at + 512, None]
+        starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        out[own[starts]] += np.add.reduceat(rows, starts, axis=0)
 
 
 def _stored_terms(docs: DataFrame, text: str, items: Items) -> DataFrame:
@@ -193,6 +194,7 @@ def _frequencies(terms: DataFrame, size: int, tile: int) -> tuple[np.ndarray, in
 def _gram_times(terms: DataFrame, weight: np.ndarray, base_vectors: np.ndarray, tile: int) -> np.ndarray:
     """A'A times some vectors, A the passages of unit length: one pass over the terms."""
     size, k, part = len(weight), base_vectors.shape[1], 16
+    base_vectors = np.ascontiguousarray(base_vectors, dtype=np.float32)
 
     def run(batches):
         from pyspark import TaskContext
@@ -206,10 +208,10 @@ def _gram_times(terms: DataFrame, weight: np.ndarray, base_vectors: np.ndarray,
                 values = weight[term].astype(np.float32)
                 norm = np.sqrt(_norms(number, values, int(base[-1])))
                 values /= norm[number].astype(np.float32)
-                y = _row_sums(number, values[:, None] * base_vectors[term], int(base[-1]))
+                y = np.zeros((int(base[-1]), k), dtype=np.float32)
+                _add_products(y, number, term, values, base_vectors)
                 order = np.argsort(term, kind="stable")
-                back = values[order][:, None] * y[number[order]]
-                total += _row_sums(term[order], back, size)
+                _add_products(total, term[order], number[order], values[order], y)
         rows = [(j, total[j : j + part].tobytes()) for j in range(0, size, part)]
         yield pa.RecordBatch.from_arrays(
             [
@@ -253,7 +255,8 @@ class Index:
             return rows
         values = self.weight[term].astype(np.float32)
         tiles = int(base[-1])
-        score = _row_sums(number, values[:, None] * self.images[term], tiles)
+        score = np.zeros((tiles, self.images.shape[1]), dtype=np.float32)
+        _add_products(score, number, term, values, self.images)
         norm = _norms(number, values, tiles)
         # Windows of two tiles; a row's last tile stands alone only if it is the only one.
         row_of = np.repeat(np.arange(len(texts)), np.diff(base))
@@ -316,6 +319,11 @@ def common_length(pattern: list[int], text: list[int]) -> int:
 
 
 def index(docs: DataFrame, items: Items, retrieval: Retrieval, text: str) -> Index:
+    with scratch(docs.sparkSession):  # the index itself is on the driver
+        return _index(docs, items, retrieval, text)
+
+
+def _index(docs: DataFrame, items: Items, retrieval: Retrieval, text: str) -> Index:
     terms = _stored_terms(docs, text, items)
     size = len(items.vocabulary) + 1
     seen, passages = _frequencies(terms, size, retrieval.tile)
