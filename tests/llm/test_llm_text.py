@@ -134,7 +134,7 @@ def test_groups_above_a_block_and_many_likely_pairs(spark):
         for _ in range(rng.choice([2, 4, 6])):
             w[rng.randrange(len(w))] = f"own{n}x{rng.randrange(99)}"
         docs.append((n, " ".join(w)))
-    banding = near_duplicates.Banding(block=8, pairs_per_member=0)
+    banding = near_duplicates.Banding(block=8)
     rows = near_duplicates.near_duplicate_classes(spark.createDataFrame(docs, DOCS), banding=banding).collect()
     first = {}
     found = [first.setdefault(bytes(r["class"]), r["doc_id"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
