@@ -13,13 +13,13 @@ components are filled, about ``m ln m`` for a whole document, however long it is
 Bands of the signature give candidate groups. Exact copies (equal multisets) are one node
 from the start. Inside a group nobody is paired with everybody: first each member meets
 the group's least member, and the pairs that hold by exact multiset overlap form classes.
-Where a group then still has several classes, its members' sketches (a byte of every
-signature component) are compared in blocks inside tasks, and only pairs of different
-classes whose estimated similarity is within ``slack`` of the limit leave the task, each
-from the first band it shares, to be verified exactly. Before that, each member's best pair
-in a quarter of the groups is verified, so that large classes have formed by then. The
-estimate's deviation is 0.022 at similarity 0.8; a true pair is overlooked there with
-probability 0.004 at 0.8 and 0.0001 at 0.82.
+Where a group then still has several classes, its members are compared in blocks inside
+tasks by their marks, 16 bits of every element of the multiset: two multisets share at
+most as many elements as marks, so a pair whose marks overlap too little is surely not
+near. All other pairs of different classes leave the task, each from the first band it
+shares, to be verified exactly. Before that, each member's best pair in a quarter of the
+groups is verified, so that large classes have formed by then. A pair is overlooked only
+if it shares no band.
 """
 
 from __future__ import annotations
@@ -50,8 +50,8 @@ class Banding:
     bands: int = 40
     rows: int = 8
     similarity: float = 0.8
-    slack: float = 0.06
     block: int = 512
+    block_bytes: int = 1 << 24
 
     @property
     def components(self) -> int:
@@ -201,15 +201,9 @@ def _with_keys(docs: DataFrame, text: str, keep: list[str], bag: str, banding: B
         values = signatures(row, hashes, len(texts), banding.components)
         keys = _band_keys(values, banding)
         at = np.arange(len(texts) + 1, dtype=np.int32) * banding.bands
-        small = (mix(np.ascontiguousarray(values).view(np.uint64)) & _U(255)).astype(np.uint8)
-        sketches = pa.array([r.tobytes() for r in small], pa.binary())
-        return [bags, pa.ListArray.from_arrays(at, keys.ravel()), sketches]
-
-    fields = [
-        StructField(bag, BinaryType()),
-        StructField("_keys", ArrayType(LongType())),
-        StructField("_sketch", BinaryType()),
-    ]
+        return [bags, pa.ListArray.from_arrays(at, keys.ravel())]
+
+    fields = [StructField(bag, BinaryType()), StructField("_keys", ArrayType(LongType()))]
     return with_text_columns(docs, text, compute, fields, keep)
 
 
@@ -251,79 +245,89 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary, common bigint, either bigint")
 
 
-def _likely(pairs: DataFrame, sketches: DataFrame, banding: Banding) -> DataFrame:
-    """The pairs of nodes whose sketches agree nearly as often as a true pair's do."""
-    left = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("_sa"))
-    right = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("_sb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "_sa", "_sb")
-    least, m = (banding.similarity - banding.slack) * banding.components, banding.components
+def _with_marks(sets: DataFrame) -> DataFrame:
+    """``node, marks``: 16 bits of each element, sorted."""
 
     def run(batches):
         for batch in batches:
-            x, y = (_bytes(batch.column(i), m) for i in (2, 3))
-            keep = pa.array((x == y).sum(axis=1) >= least)
-            yield batch.select([0, 1]).filter(keep)
-
-    return both.mapInArrow(run, "a binary, b binary")
-
-
-def _bytes(column: pa.Array, width: int) -> np.ndarray:
-    """A column of equally long binaries as rows of bytes."""
-    joined = b"".join(column.to_pylist())
-    return np.frombuffer(joined, dtype=np.uint8).reshape(-1, width)
+            marks = [
+                np.sort(np.frombuffer(x.as_buffer(), dtype=np.uint64).astype(np.uint16)).tobytes() for x in batch.column(1)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.binary())], names=["node", "marks"])
+
+    return sets.select("_bag", "elements").mapInArrow(run, "node binary, marks binary")
+
+
+def _numbered_marks(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All marks with their occurrence number in a row, as one value each, and where rows start."""
+    marks = column.to_pylist()
+    at = np.concatenate([[0], np.cumsum([len(x) // 2 for x in marks])])
+    values = np.frombuffer(b"".join(marks), dtype=np.uint16)
+    _, number = _occurrences(np.repeat(np.arange(len(marks)), np.diff(at)), values)
+    return (number << 16) + values, at
+
+
+def _overlaps(values: np.ndarray, counts: np.ndarray, width: int = 2048) -> np.ndarray:
+    """How many values each two rows share; no row holds a value twice."""
+    _, column, rows_with = np.unique(values, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(counts)), counts)
+    shared = np.cumsum(rows_with > 1) - 1
+    keep = rows_with[column] > 1
+    row, column = row[keep], shared[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(counts), len(counts)), dtype=np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [first, first + width])
+        held = np.zeros((len(counts), min(width, int(column[-1]) + 1 - first)), dtype=np.float32)
+        held[row[a:b], column[a:b] - first] = 1
+        out += held @ held.T
+    return out
 
 
 def _across(members: DataFrame, banding: Banding, best_only: bool) -> DataFrame:
-    """Likely pairs of different classes inside groups: ``key, node, root, sketch, keys`` in,
-    ``a, b`` out. Groups above ``block`` members are dealt out over pairs of blocks. With
-    ``best_only``, only each member's best pair in its block, if it may well hold."""
-    sizes = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "group-sizes")
-    parts = F.ceil(F.col("n") / banding.block)
+    """Pairs of different classes inside groups that their marks do not rule out: ``key,
+    node, root, marks, keys`` in, ``a, b`` out. Groups above ``block`` members or
+    ``block_bytes`` are dealt out over pairs of blocks. With ``best_only``, only each
+    member's best pair in its block."""
+    bulk = F.sum(F.octet_length("marks")).alias("bytes")
+    sizes = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), bulk), "group-sizes")
+    parts = F.ceil(F.greatest(F.col("n") / banding.block, F.col("bytes") / banding.block_bytes, F.lit(1.0)))
     own, other = F.pmod(F.xxhash64("node"), F.col("parts")), F.col("other")
     dealt = (
         members.join(sizes.select("key", parts.alias("parts")), "key")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
         .select("key", F.least(F.col("own"), other).alias("i"), F.greatest(F.col("own"), other).alias("j"),
-                "node", F.xxhash64("root").alias("root"), "sketch", "keys")
+                "node", F.xxhash64("root").alias("root"), "marks", "keys")
     )
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    m = banding.components
-    least = (banding.similarity - banding.slack) * m
 
     def compare(rows: pa.Table):
         place = np.stack([rows.column(c).to_numpy() for c in ("key", "i", "j")])
         new = np.concatenate([[True], (place[:, 1:] != place[:, :-1]).any(axis=0)])
         starts = np.flatnonzero(new)
-        sizes = np.diff(np.append(starts, len(rows)))
-        root, sketch = rows.column("root").to_numpy(), _bytes(rows.column("sketch").combine_chunks(), m)
+        root = rows.column("root").to_numpy()
+        values, value_at = _numbered_marks(rows.column("marks"))
         keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(-1, banding.bands)
-        for size in np.unique(sizes[sizes > 1]).tolist():
-            first = starts[sizes == size]
-            step = max(1, 8_000_000 // (size * m))
-            for at in range(0, len(first), step):
-                index = first[at : at + step][:, None] + np.arange(size)[None, :]
-                these = sketch[index]
-                first_x, first_y, first_s = [], [], []
-                for i in range(size - 1):
-                    same = (these[:, i, None] == these[:, i + 1 :]).sum(axis=2)
-                    hit = (same >= least) & (root[index[:, i]][:, None] != root[index[:, i + 1 :]])
-                    group, to = np.nonzero(hit)
-                    first_x.append(np.stack([group, np.full(len(group), i)]))
-                    first_y.append(i + 1 + to)
-                    first_s.append(same[group, to])
-                group, i = np.concatenate(first_x, axis=1)
-                j, same = np.concatenate(first_y), np.concatenate(first_s)
-                x, y = index[group, i], index[group, j]
-                if best_only:
-                    top = np.zeros(len(rows), dtype=same.dtype)
-                    np.maximum.at(top, x, same)
-                    np.maximum.at(top, y, same)
-                    keep = ((same == top[x]) | (same == top[y])) & (same >= banding.similarity * m)
-                else:  # in the first band that both share
-                    first_band = (keys[x] == keys[y]).argmax(axis=1)
-                    keep = keys[x, first_band] == place[0][x]
-                yield x[keep], y[keep]
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)], strict=True):
+            if (root[a:b] == root[a]).all():
+                continue
+            counts = np.diff(value_at[a : b + 1])
+            common = _overlaps(values[value_at[a] : value_at[b]], counts)
+            score = common / (counts[:, None] + counts[None, :] - common).astype(np.float64)
+            hit = np.triu((score >= banding.similarity - 1e-9) & (root[a:b, None] != root[None, a:b]), 1)
+            x, y = np.nonzero(hit)
+            same = score[x, y]
+            if best_only:
+                top = np.zeros(b - a)
+                np.maximum.at(top, x, same)
+                np.maximum.at(top, y, same)
+                keep = (same == top[x]) | (same == top[y])
+            else:  # in the first band that both share
+                first_band = (keys[a + x] == keys[a + y]).argmax(axis=1)
+                keep = keys[a + x, first_band] == place[0][a]
+            yield a + x[keep], a + y[keep]
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -365,26 +369,24 @@ def near_duplicate_links(docs: DataFrame, text: str = "text", banding: Banding |
 def _linked(docs: DataFrame, text: str, banding: Banding) -> DataFrame:
     keyed = _with_keys(docs.select(text), text, [], "_bag", banding)
     nodes = keyed.filter("_bag IS NOT NULL").groupBy(F.col("_bag").alias("node"))
-    nodes = stored(nodes.agg(F.min("_keys").alias("keys"), F.min("_sketch").alias("sketch")), "nodes")
+    nodes = stored(nodes.agg(F.min("_keys").alias("keys")), "nodes")
     rows = nodes.select("node", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head"))
     shared = stored(shared.filter("n > 1").select("key", "head"), "shared-keys")
     members, n_members = stored_counted(rows.join(shared, "key").select("key", "node", "head"), "groups")
-    sketches = nodes.join(members, "node", "left_semi").select("node", "sketch", "keys")
-    sketches = stored(sketches, "sketches")
-    wanted = sketches.select("node")
+    wanted = stored(nodes.join(members, "node", "left_semi").select("node", "keys"), "wanted")
+    sets = _multisets(docs, text, wanted, banding)
 
     # First each member against the least of its group.
     stars = members.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    likely = stored(_likely(stars, sketches, banding), "likely", n_members)
-    sets = _multisets(docs, text, wanted, banding)
-    first = stored(_verified(likely, sets), "verified")
+    first = stored(_verified(stored(stars, "stars", n_members), sets), "verified")
     near = F.col("common") >= F.lit(banding.similarity) * F.col("either")
     found = first.filter(near).select("a", "b")
     labels = components(found)
 
     # Then, in groups of several classes, members of different classes.
     done = first.select("a", "b")
+    marked = stored(_with_marks(sets).join(wanted, "node"), "marks")
     for best_only in (True, False):
         classed = members.join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
         classed = stored(classed, "classed", n_members)
@@ -393,9 +395,9 @@ def _linked(docs: DataFrame, text: str, banding: Banding) -> DataFrame:
         if best_only:
             mixed = mixed.filter(F.pmod("key", F.lit(4)) == 0)
         mixed = stored(mixed, "mixed-keys", n_members)
-        open_rows = classed.join(mixed, "key", "left_semi").join(sketches, "node")
+        open_rows = classed.join(mixed, "key", "left_semi").join(marked, "node")
         across = _across(open_rows, banding, best_only).join(done, ["a", "b"], "left_anti")
-        fresh = stored(_verified(stored(across, "likely"), sets), "verified")
+        fresh = stored(_verified(stored(across, "possible"), sets), "verified")
         done = done.unionByName(fresh.select("a", "b"))
         fresh = fresh.filter(near).select("a", "b")
         if not fresh.isEmpty():
