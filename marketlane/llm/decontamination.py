@@ -1,6 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval and word alignment.
 
-The benchmark is the query set: it is taken in blocks of ``block`` items, each of which
+The benchmark is the query set: it is taken in blocks of ``block`` items (fewer if they
+are long: a block ends with the item that brings it to ``block`` stretches), each of which
 meets all documents. The columns of the vector space are the words of the block; other
 words bear on no item. Passages are tiles of ``tile`` words; a term weighs
 ``log(passages / passages with it)`` over all documents, and terms in more than
@@ -8,8 +9,9 @@ words bear on no item. Passages are tiles of ``tile`` words; a term weighs
 
 A randomised singular value decomposition of the passages, to which the items are added
 with the same total weight, runs as two passes of ``A'A`` over the stored terms; tasks
-send sums of bounded size. An item's latent image is its projection on the leading axes.
-Every window of two tiles whose cosine with an image reaches ``cosine`` is a candidate.
+send sums of bounded size. An item is cut into even stretches no longer than a window of
+two tiles; a stretch's latent image is its projection on the leading axes. Every window
+whose cosine with an image reaches ``cosine`` is a candidate for the whole item.
 
 A candidate is decided by the longest common subsequence of the item and the text around
 the window: it leaks if ``verbatim`` of the item's words align in order, or if
@@ -64,6 +66,9 @@ class Retrieval:
     answer: float = 0.5
     seed: int = 11
 
+    def stretches(self, words: int) -> int:
+        return -(-words // (2 * self.tile))
+
 
 @dataclass(frozen=True)
 class Items:
@@ -85,7 +90,7 @@ class Items:
 
 
 def blocks(benchmark: DataFrame, retrieval: Retrieval, item: str, text: str, answer: str | None) -> Iterator[Items]:
-    """Items in blocks of fixed size, one at a time on the driver.
+    """Items in blocks of ``block`` stretches, one at a time on the driver.
 
     Items with a null id or fewer than ``least_words`` words are left out: so few words
     occur in ordinary text. Repeated rows count once.
@@ -95,15 +100,17 @@ def blocks(benchmark: DataFrame, retrieval: Retrieval, item: str, text: str, ans
         F.col(item).cast("bigint").alias("item"), F.col(text).alias("text"), column.alias("answer")
     ).filter("item IS NOT NULL AND text IS NOT NULL").distinct().orderBy("item", "text", "answer")
     held: list[tuple[int, np.ndarray, np.ndarray | None]] = []
+    stretches = 0
     for row in rows.toLocalIterator():
         words = hashed_words(pa.array([row["text"]]))[0]
         if len(words) < retrieval.least_words:
             continue
         end = hashed_words(pa.array([row["answer"]]))[0] if row["answer"] else words[-(-len(words) * 3 // 4) :]
         held.append((row["item"], words, end))
-        if len(held) == retrieval.block:
+        stretches += retrieval.stretches(len(words))
+        if stretches >= retrieval.block:
             yield _items(held)
-            held = []
+            held, stretches = [], 0
     if held:
         yield _items(held)
 
@@ -244,7 +251,8 @@ class Index:
 
     items: Items
     weight: np.ndarray
-    images: np.ndarray
+    images: np.ndarray  # a column per stretch
+    item_of: np.ndarray  # the item of each stretch
     retrieval: Retrieval
 
     def matches(self, texts: pa.Array) -> list[list[dict]]:
@@ -268,15 +276,16 @@ class Index:
         score /= np.sqrt(np.maximum(norm, 1e-12))[:, None].astype(np.float32)
         score[alone] = 0
         windows, found = np.nonzero(score >= self.retrieval.cosine)
-        done = set()
-        for window, item in zip(windows.tolist(), found.tolist(), strict=True):
-            row = int(row_of[window])
-            if (row, item) in done:
+        done, tried = set(), None
+        for window, stretch in zip(windows.tolist(), found.tolist(), strict=True):
+            row, item = int(row_of[window]), int(self.item_of[stretch])
+            if (row, item) in done or (window, item) == tried:
                 continue
+            tried = window, item
             match = self._decide(terms[at[row] : at[row + 1]], window - int(base[row]), item)
             if match:
                 done.add((row, item))
-                rows[row].append(match | {"cosine": float(score[window, item])})
+                rows[row].append(match | {"cosine": float(score[window, stretch])})
         for row in rows:
             row.sort(key=lambda m: (m["item_id"], m["first_word"]))
         return rows
@@ -285,7 +294,10 @@ class Index:
         ask, r = self.items.words[item], self.retrieval
         first = max(0, window * r.tile - len(ask))
         last = min(len(words), (window + 2) * r.tile + len(ask))
-        around = words[first:last].tolist()
+        around = words[first:last]
+        if np.isin(ask, around).mean() < r.paraphrase:  # no more words than these can align
+            return None
+        around = around.tolist()
         aligned = common_length(ask.tolist(), around) / len(ask)
         if aligned < r.paraphrase:
             return None
@@ -335,13 +347,15 @@ def _index(docs: DataFrame, items: Items, retrieval: Retrieval, text: str) -> In
         if (stopped[words] > 0).sum() < 3:
             stopped[words] = weight[words]
     weight = stopped
-    queries = np.zeros((size, len(items.ids)), dtype=np.float32)
-    for i, words in enumerate(items.words):
+    stretches = [x for words in items.words for x in np.array_split(words, retrieval.stretches(len(words)))]
+    item_of = np.repeat(np.arange(len(items.ids)), [retrieval.stretches(len(w)) for w in items.words])
+    queries = np.zeros((size, len(stretches)), dtype=np.float32)
+    for i, words in enumerate(stretches):
         queries[np.unique(words), i] = weight[np.unique(words)]
     queries /= np.maximum(np.linalg.norm(queries, axis=0), 1e-12)
 
     k = min(retrieval.axes + retrieval.oversampling, size)
-    share = passages / max(1, len(items.ids))
+    share = passages / max(1, len(stretches))
 
     def gram(x: np.ndarray) -> np.ndarray:
         return _gram_times(terms, weight, x, retrieval.tile) + share * (queries @ (queries.T @ x))
@@ -353,7 +367,7 @@ def _index(docs: DataFrame, items: Items, retrieval: Retrieval, text: str) -> In
     axes = axes @ turn[:, ::-1][:, : retrieval.axes]
     images = axes @ (axes.T @ queries)
     images /= np.maximum(np.linalg.norm(images, axis=0), 1e-12)
-    return Index(items, weight, images.astype(np.float32), retrieval)
+    return Index(items, weight, images.astype(np.float32), item_of, retrieval)
 
 
 def with_matches(

@@ -215,6 +215,23 @@ def test_contaminated_documents_are_found_and_clean_ones_left(spark):
     assert kept.columns == frame.columns and {r["doc_id"] for r in kept.collect()} == set(clean)
 
 
+def test_long_items_are_found_by_their_stretches(spark):
+    """No window of 64 words comes near the image of 3,000 words."""
+    rng = random.Random(23)
+
+    def prose(n):
+        return [rng.choice(WORDS) + str(rng.randrange(2000)) for _ in range(n)]
+
+    item, short = prose(3000), prose(40)
+    reworded = [w if rng.random() < 0.75 else "changed" for w in item]
+    texts = [prose(500) + item + prose(900), prose(70) + reworded, prose(200) + item[:900] + prose(300), prose(100) + short]
+    docs = [(n, " ".join(t)) for n, t in enumerate(texts)] + [(n, " ".join(prose(400))) for n in range(10, 40)]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(short))], "item_id bigint, text string")
+    rows = decontamination.with_matches(spark.createDataFrame(docs, DOCS), bench).collect()
+    found = {r["doc_id"]: [m["item_id"] for m in r["matches"]] for r in rows}
+    assert found == {n: [] for n, _ in docs} | {0: [1], 1: [1], 3: [2]}
+
+
 def test_decontamination_of_nothing(spark):
     empty, bench = spark.createDataFrame([], DOCS), spark.createDataFrame([(1, "a b c d e f g h")], "item_id bigint, text string")
     docs = spark.createDataFrame([(1, "a b c d e f g h i")], DOCS)
