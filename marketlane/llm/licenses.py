@@ -4,7 +4,8 @@ Every line of a text, and the text as a whole, is a sparse TF-IDF vector over it
 its cosine with the templates' vectors names its licence. Weights come from document
 frequencies over all files; words outside the templates count as rare ones in a length,
 so that a line of other words comes near nothing. A line near a notice is a header of its
-file. A file that is near a licence's text as a whole, or bears a licence file's name and
+file, and so is any run of words, over lines or inside one, that is as long as a licence's
+text and near it. A file that is near a licence's text as a whole, or bears a licence file's name and
 holds a notice, states the licence of its directory. A file without a licence of its own
 takes that of the nearest directory above it that has one, by joins over distinct
 directories and their ancestors.
@@ -49,7 +50,7 @@ NOTICES = (
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
 )
 
-# Texts of short licences and the notices that longer ones ask for.
+# Texts of short licences, the notices that longer ones ask for, and how those begin.
 LICENCE_TEXTS = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
             "associated documentation files (the Software), to deal in the Software without restriction, including "
@@ -78,6 +79,75 @@ LICENCE_TEXTS = (
     ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
                   "modify, publish, use, compile, sell, or distribute this software, either in source code form or as "
                   "a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                     "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+                     "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions "
+                     "in binary form must reproduce the above copyright notice, this list of conditions and the "
+                     "following disclaimer in the documentation and/or other materials provided with the distribution. "
+                     "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR "
+                     "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,"),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                     "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+                     "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions "
+                     "in binary form must reproduce the above copyright notice, this list of conditions and the "
+                     "following disclaimer in the documentation and/or other materials provided with the distribution. "
+                     "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+                     "endorse or promote products derived from this software without specific prior written permission. "
+                     "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR "
+                     "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+                "or (at your option) any later version. This program is distributed in the hope that it will be useful, "
+                "but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+                "PARTICULAR PURPOSE."),
+    ("LGPL-2.1", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+                 "License, or (at your option) any later version. This program is distributed in the hope that it will "
+                 "be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS "
+                 "FOR A PARTICULAR PURPOSE."),
+    ("LGPL-3.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 3 of the "
+                 "License, or (at your option) any later version. This program is distributed in the hope that it will "
+                 "be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS "
+                 "FOR A PARTICULAR PURPOSE."),
+    ("AGPL-3.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Affero General Public License as published by the Free Software Foundation; either version 3 of the "
+                 "License, or (at your option) any later version. This program is distributed in the hope that it will "
+                 "be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS "
+                 "FOR A PARTICULAR PURPOSE."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, "
+                "Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA Everyone is permitted to copy and "
+                "distribute verbatim copies of this license document, but changing it is not allowed. Preamble The "
+                "licenses for most software are designed to take away your freedom to share and change it. By contrast, "
+                "the GNU General Public License is intended to guarantee your freedom to share and change free software"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. "
+                "https://fsf.org/ Everyone is permitted to copy and distribute verbatim copies of this license "
+                "document, but changing it is not allowed. Preamble The GNU General Public License is a free, copyleft "
+                "license for software and other kinds of works."),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 Free Software "
+                 "Foundation, Inc. 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA Everyone is permitted to "
+                 "copy and distribute verbatim copies of this license document, but changing it is not allowed. This is "
+                 "the first released version of the Lesser GPL. It also counts as the successor of the GNU Library "
+                 "Public License, version 2, hence the version number 2.1."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software "
+                 "Foundation, Inc. https://fsf.org/ Everyone is permitted to copy and distribute verbatim copies of "
+                 "this license document, but changing it is not allowed. This version of the GNU Lesser General Public "
+                 "License incorporates the terms and conditions of version 3 of the GNU General Public License, "
+                 "supplemented by the additional permissions listed below."),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software "
+                 "Foundation, Inc. https://fsf.org/ Everyone is permitted to copy and distribute verbatim copies of "
+                 "this license document, but changing it is not allowed. Preamble The GNU Affero General Public License "
+                 "is a free, copyleft license for software and other kinds of works, specifically designed to ensure "
+                 "cooperation with the community in the case of network server software."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR "
+                   "USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. License shall mean the terms and conditions for "
+                   "use, reproduction, and distribution as defined by Sections 1 through 9 of this document."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions 1.1. Contributor means each individual or legal "
+                "entity that creates, contributes to the creation of, or owns Covered Software. 1.2. Contributor "
+                "Version means the combination of the Contributions of others (if any) used by a Contributor"),
+    ("CC0-1.0", "CC0 1.0 Universal CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM AND DOES NOT PROVIDE LEGAL SERVICES. "
+                "DISTRIBUTION OF THIS DOCUMENT DOES NOT CREATE AN ATTORNEY-CLIENT RELATIONSHIP. CREATIVE COMMONS "
+                "PROVIDES THIS INFORMATION ON AN AS-IS BASIS."),
 )
 
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense|notice)([._-].*)?$"
@@ -178,6 +248,35 @@ class Matcher:
         return name, cosine
 
 
+def blocks(wholes: Matcher, lengths: list[int], hashes: np.ndarray, at: np.ndarray, least: float):
+    """Best licence text and cosine of each row's runs of words as long as a text; the first run counts.
+
+    A run's cosine with a text is at most the root of the share of the text's squared
+    length that the run's words have: few runs are compared.
+    """
+    rows = len(at) - 1
+    name, cosine, start = np.full(rows, -1), np.zeros(rows), np.zeros(rows, dtype=np.int64)
+    number = _numbers(wholes.vocabulary, hashes)
+    for i, size in enumerate(lengths):
+        if len(hashes) < size:
+            continue
+        covered = np.concatenate([[0.0], np.cumsum(wholes.vectors[:, i][number] ** 2)])
+        first = np.flatnonzero(covered[size:] - covered[:-size] >= least * least - 1e-6)
+        row = np.searchsorted(at, first, side="right") - 1
+        inside = first + size <= at[row + 1]
+        first, row = first[inside], row[inside]
+        step = max(1, 200_000 // size)
+        for a in range(0, len(first), step):
+            some = first[a : a + step]
+            runs = hashes[some[:, None] + np.arange(size)].ravel()
+            found, near = wholes.best(runs, np.arange(len(some) + 1) * size, least)
+            for k in np.flatnonzero(found >= 0).tolist():
+                r, c = int(row[a + k]), float(near[k])
+                if c > cosine[r] + 1e-12 or (c > cosine[r] - 1e-12 and some[k] < start[r]):
+                    name[r], cosine[r], start[r] = found[k], c, some[k]
+    return name, cosine
+
+
 def with_licences(
     files: DataFrame, path: str = "path", text: str = "text", templates: Templates | None = None,
     keep: list[str] | None = None,
@@ -199,6 +298,7 @@ def with_licences(
     weight = np.maximum(weight, 0.01)
     notices = Matcher.of(templates.notices, vocabulary, weight)
     wholes = Matcher.of(templates.texts, vocabulary, weight)
+    lengths = np.diff(hashed_words(pa.array([t for _, t in templates.texts], pa.large_string()))[1]).tolist()
 
     def compute(texts: pa.Array) -> list:
         lines = pc.split_pattern(texts, "\n")
@@ -212,6 +312,9 @@ def with_licences(
             row = int(np.searchsorted(at, i, side="right")) - 1
             if cosine[i] > similar[row] + 1e-12:
                 header[row], similar[row] = notices.names[name[i]], cosine[i]
+        inner, nearest = blocks(wholes, lengths, hashes, line_at[at], templates.header)
+        for row in np.flatnonzero((inner >= 0) & (nearest > similar + 1e-12)).tolist():
+            header[row], similar[row] = wholes.names[inner[row]], nearest[row]
         return [
             pa.array(header, pa.string()), pa.array(np.round(similar, 9)),
             pa.array([wholes.names[w] if w >= 0 else None for w in whole], pa.string()), pa.array(np.round(near, 9)),

@@ -4,6 +4,7 @@ import hashlib
 import math
 import os
 import random
+import textwrap
 
 import duckdb
 import numpy as np
@@ -130,6 +131,27 @@ def test_licences_and_inheritance(spark):
     assert {r["path"]: r["license"] for r in every.collect()} == {f"d/{i}": n for i, (n, _) in enumerate(licenses.NOTICES)}
 
 
+def test_headers_over_several_lines_and_long_licences(spark):
+    wrap = lambda text, mark: "".join(f"{mark} {line}\n" for line in textwrap.wrap(text, 70))
+    code = "".join(f"value_{n} = compute(item_{n}, {n}) + offset\n" for n in range(60))
+    common = {n: open(f"/usr/share/common-licenses/{n}").read() for n in ("BSD", "GPL-2", "GPL-3", "LGPL-2.1", "CC0-1.0")}
+    mit = dict(licenses.LICENCE_TEXTS)["MIT"]
+    files = [
+        ("m/a.py", "# Copyright 2020 A. Person\n#\n" + wrap(mit, "#") + code), ("m/b.js", f"/*! x 1.0 {' '.join(mit.split())} */ {code}"),
+        ("m/c.c", wrap(common["BSD"], " *") + code), ("m/d.c", code),
+        ("g2/COPYING", common["GPL-2"]), ("g2/src/a.c", code), ("g3/COPYING", common["GPL-3"]), ("g3/src/a.c", code),
+        ("l/COPYING", common["LGPL-2.1"]), ("l/a.c", code), ("c/LICENSE", common["CC0-1.0"]), ("c/a.c", code),
+    ]
+    rows = licenses.with_licences(spark.createDataFrame(files, "path string, text string"), keep=["path"]).collect()
+    found = {r["path"]: (r["license"], r["how"]) for r in rows}
+    assert found == {
+        "m/a.py": ("MIT", "header"), "m/b.js": ("MIT", "header"), "m/c.c": ("BSD-3-Clause", "header"), "m/d.c": (None, "none"),
+        "g2/COPYING": ("GPL-2.0", "file"), "g2/src/a.c": ("GPL-2.0", "inherited"), "g3/COPYING": ("GPL-3.0", "file"),
+        "g3/src/a.c": ("GPL-3.0", "inherited"), "l/COPYING": ("LGPL-2.1", "file"), "l/a.c": ("LGPL-2.1", "inherited"),
+        "c/LICENSE": ("CC0-1.0", "file"), "c/a.c": ("CC0-1.0", "inherited"),
+    }
+
+
 # --- tokens ----------------------------------------------------------------------------
 
 VOCABULARY = str(public_tokenizers.path("byte_bpe_50k.json"))
