@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 from marketlane.llm import (
     chat,
     decontamination,
+    fill_middle,
     licenses,
     mixing,
     near_duplicates,
     neighbours,
+    packing,
     quality,
     secret_scan,
+    spelling,
     token_counts,
     url_rules,
 )
@@ -79,6 +82,21 @@ def op10_bag_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.class_rows(docs)
 
 
+def op11_concatenate_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each part of each document stands in the packed sequences."""
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pieces(packing.sequences(table(spark, folder, "documents"), path))
+
+
+def op12_trie_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words with their neighbours, forms and roots; one of 97 words a document is misspelt."""
+    return spelling.variants(table(spark, folder, "documents"), spelling.Words(damage=97))
+
+
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digest(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_latent_decontamination": op1_latent_decontamination,
@@ -91,6 +109,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_neighbour_quality": op8_neighbour_quality,
         "op9_prefix_tokens": op9_prefix_tokens,
         "op10_bag_minhash": op10_bag_minhash,
+        "op11_concatenate_cut": op11_concatenate_cut,
+        "op12_trie_variants": op12_trie_variants,
+        "op13_fill_middle": op13_fill_middle,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -100,4 +121,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_redirect_rules": url_rules.judged_sql(),
         "op3_curriculum_mixing": mixing.DIGEST_SQL,
         "op7_typed_chat": chat.DIGEST_SQL,
+        "op12_trie_variants": spelling.variants_sql(),
+        "op13_fill_middle": fill_middle.DIGEST_SQL,
     }
