@@ -18,8 +18,11 @@ def first_per_key(frame: DataFrame, key: Sequence[str], order: Sequence[Column])
     key that holds a large share of the rows leaves one row per map task before
     anything is shuffled.
     """
+    name = "_rank"
+    while name in {c.lower() for c in frame.columns}:
+        name += "_"
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-    return frame.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    return frame.withColumn(name, rank).filter(F.col(name) == 1).drop(name)
 
 
 def newest_per_key(frame: DataFrame, key: Sequence[str]) -> DataFrame:
