@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from marketlane.llm import fill_middle, packing, spelling
-from marketlane.llm.token_counts import Vocabulary
 
 PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
 ODD = ["", None, "a", "<|endoftext|>", "x <|endoftext|> y", "é" * 300, "日本語のテキスト", "\t\n    x", "I'll 'REve it's", "<P>a<S>", "\U0001f600 <M", "\x00a"]
@@ -28,12 +27,15 @@ def library():
 
 
 def test_encoder_equals_the_library(library):
-    with open(PATH, encoding="utf-8") as file:
-        encoder = packing.Encoder(file.read(), True, Vocabulary.load(PATH).specials)
+    file = packing.TokenFile.read(PATH)
+    assert file.ranks
+    encoder = packing.Encoder(file)
     texts = [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}\n{chr(c)}x" for c in range(0x260)] + [t for t in ODD if t]
     rng = random.Random(5)
     texts += ["".join(rng.choice("ab E'st\n .,1é日") for _ in range(rng.randrange(80))) for _ in range(300)]
     texts += [" ".join(rng.choice(["alpha", "Beta's", "日本", "12 ", "\n"]) for _ in range(60_000)), "z" * 150_000]
+    texts += ["".join(rng.choice("qzjkxwv") for _ in range(100_000)) + " end", *(t.decode("utf-8", "ignore") for t in list(file.ranks)[::7])]
+    texts += ["".join(rng.choice("etaoinshr'  ") for _ in range(20_000)) for _ in range(20)]
     for text in texts:
         assert encoder.ids(text) == np.array(library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text[:50]
 
