@@ -130,8 +130,9 @@ def labelled_sample(labels: DataFrame, voting: Voting, key: str = "doc_id", labe
     """
     clean = (
         labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1))
-        .groupBy(F.col(key).alias("_key"))
-        .agg(F.min(label).alias("_label"), F.max(label).alias("_other"))
+        .select(F.col(key).alias("_key"), F.col(label).alias("_label"))
+        .groupBy("_key")
+        .agg(F.min("_label").alias("_label"), F.max("_label").alias("_other"))
         .filter("_label = _other")
         .select("_key", "_label")
     )
@@ -153,38 +154,59 @@ def fit(
     text: str = "text",
     label: str = "quality",
 ) -> Model:
-    """Learns from the rows of ``labels`` alone; which those may be is the caller's choice."""
+    """Learns from the rows of ``labels`` alone; which those may be is the caller's choice.
+
+    A null text counts as empty. Of several texts with one key the least teaches, so the
+    model does not depend on partitions or on repeated rows; a key with contradicting
+    labels, or none, teaches nothing. Without labelled texts every score is 0. A text is
+    counted whole, in some 50 times its bytes.
+    """
     voting = voting or Voting()
     seen, total = frequencies(docs, text, voting)
     idf = np.log((1.0 + total) / (1.0 + seen)).astype(np.float32) + 1.0
     features = voting.features
 
-    def rows(texts: pa.Array) -> list:
-        tf = np.minimum(counts(texts, features), 65535).astype(np.uint16)
-        return [pa.array([r.tobytes() for r in tf], pa.binary()), pa.array(repeats(texts).astype(np.float64))]
-
     sample = labelled_sample(labels, voting, key, label)
-    picked = docs.select(key, text).join(F.broadcast(sample), F.col(key) == F.col("_key"))
-    picked = with_text_columns(
-        picked.select("_key", "_label", "_behind", text), text, rows,
-        [StructField("_tf", BinaryType()), StructField("_again", DoubleType())], ["_key", "_label", "_behind"],
-    )
-    # Bounded: two labels, per_label keys each (a repeated key teaches once).
-    taught = picked.dropDuplicates(["_key"]).orderBy("_key").collect()
-    y = np.array([r["_label"] for r in taught], dtype=np.float64)
-    if not len(taught):
+    picked = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    # Bounded: two labels, per_label keys each.
+    taught = picked.join(F.broadcast(sample), "_key").groupBy("_key", "_label", "_behind").agg(F.min("_text").alias("_text"))
+    fields = [StructField("_columns", BinaryType()), StructField("_counts", BinaryType()), StructField("_again", DoubleType())]
+    taught = with_text_columns(taught, "_text", lambda texts: _sparse(texts, features), fields, ["_key", "_label", "_behind"])
+    rows = sorted(taught.collect())
+    y = np.array([r["_label"] for r in rows], dtype=np.float64)
+    if not rows:
         empty = np.zeros((0, voting.axes), dtype=np.float32)
         axes = np.zeros((features + 1, voting.axes), dtype=np.float32)
         return Model(voting, idf, axes, empty, y, y)
-    tf = np.stack([np.frombuffer(r["_tf"], dtype=np.uint16) for r in taught]).astype(np.float32)
-    again = np.array([r["_again"] for r in taught], dtype=np.float32)
-    a = _weighted(tf, again, idf)
+    behind = np.array([r["_behind"] for r in rows])
+    a = _matrix(rows, idf)
+    del rows
     axes = _right_axes(a, voting)
-    behind = np.array([r["_behind"] for r in taught])
     share = np.array([max(1, int((y == v).sum())) for v in y])
     return Model(voting, idf, axes, _unit(a @ axes), y, behind / share)
 
 
+def _sparse(texts: pa.Array, features: int) -> list[pa.Array]:
+    """Columns and counts of each text's trigrams, as 16-bit numbers, and its repeats."""
+    columns, numbers = [], []
+    for tf in counts(texts, features):
+        at = np.flatnonzero(tf)
+        columns.append(at.astype(np.uint16).tobytes())
+        numbers.append(np.minimum(tf[at], 65535).astype(np.uint16).tobytes())
+    return [pa.array(columns, pa.binary()), pa.array(numbers, pa.binary()), pa.array(repeats(texts).astype(np.float64))]
+
+
+def _matrix(rows: list, idf: np.ndarray) -> np.ndarray:
+    """Weighted rows of the sample, filled in place: the one large array of the driver."""
+    a = np.zeros((len(rows), len(idf) + 1), dtype=np.float32)
+    for out, row in zip(a, rows, strict=True):
+        at = np.frombuffer(row["_columns"], dtype=np.uint16)
+        own = np.log1p(np.frombuffer(row["_counts"], dtype=np.uint16).astype(np.float32)) * idf[at]
+        out[at] = own / max(np.sqrt((own * own).sum()), 1e-12)
+        out[-1] = row["_again"]
+    return a
+
+
 def _right_axes(a: np.ndarray, voting: Voting) -> np.ndarray:
     """Leading right singular vectors of the sample, by a random start and two power steps."""
     rng = np.random.default_rng(voting.seed)
@@ -199,13 +221,17 @@ def _right_axes(a: np.ndarray, voting: Voting) -> np.ndarray:
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
-    """All rows and columns plus the score; a column already called so is replaced."""
+    """All rows and columns plus the score, 0 for null, empty and one or two byte texts.
+
+    A column already called so is replaced; repeated rows are scored each, and alike.
+    """
     docs = without(docs, [score])
     return with_text_columns(docs, text, lambda texts: [model.score(texts)], [StructField(score, DoubleType())])
 
 
 def keep_good(docs: DataFrame, model: Model, text: str = "text", least: float = 0.7) -> DataFrame:
-    """The rows whose score is at least ``least``; columns stay as they are."""
+    """The rows whose score is at least ``least``; columns stay as they are. Rows with a null
+    or empty text score 0 and go; of repeated rows all stay or all go."""
     name = fresh_name(docs, "_score")
     return scored(docs, model, text, name).filter(F.col(name) >= least).drop(name)
 
