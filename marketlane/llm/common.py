@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -50,18 +51,21 @@ def stored_counted(frame: DataFrame, label: str, most: int | None = None) -> tup
     frame.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out.stored_at = path
-    if _scratch:
-        _scratch[-1].append(path)
+    open_ = _scratch.get()
+    if open_ is not None:
+        open_.append(path)
     return out, int(seen.get["rows"] or 0)
 
 
-_scratch: list[list[str]] = []
+#: Paths stored in the innermost ``scratch`` of this thread or task.
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Tables stored inside are removed at the end, but for those passed to the function
-    this gives: what is returned must rest on those alone."""
+    this gives: what is returned must rest on those alone. Each thread has its own."""
+    outer = _scratch.get()
     paths: list[str] = []
     kept: list[str] = []
 
@@ -69,13 +73,13 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
         kept.append(frame.stored_at)
         return frame
 
-    _scratch.append(paths)
+    before = _scratch.set(paths)
     try:
         yield keep
     finally:
-        _scratch.pop()
-        if _scratch:
-            _scratch[-1].extend(kept)
+        _scratch.reset(before)
+        if outer is not None:
+            outer.extend(kept)
         for path in set(paths) - set(kept):
             delete_path(spark, path)
 

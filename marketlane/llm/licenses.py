@@ -320,7 +320,7 @@ def with_licences(
             pa.array([wholes.names[w] if w >= 0 else None for w in whole], pa.string()), pa.array(np.round(near, 9)),
         ]
 
-    new = {n: fresh_name(files, n) for n in ("_header", "_near", "_whole", "_close", "_dir", "_at")}
+    new = {n: fresh_name(files, n) for n in ("_header", "_near", "_whole", "_close", "_dir", "_at", "_inherited", "_ancestor")}
     fields = [
         StructField(new["_header"], StringType()), StructField(new["_near"], DoubleType()),
         StructField(new["_whole"], StringType()), StructField(new["_close"], DoubleType()),
@@ -339,14 +339,14 @@ def with_licences(
         "licences",
     )
     nearest = stored(nearest_directories(found, new["_dir"]), "licence-directories").select(
-        F.col("directory").alias(new["_at"]), F.col("license").alias("_inherited"), F.col("ancestor").alias("from_directory")
+        F.col("directory").alias(new["_at"]), F.col("license").alias(new["_inherited"]), F.col("ancestor").alias(new["_ancestor"])
     )
     out = found.join(nearest, F.col(new["_dir"]) == F.col(new["_at"]), "left")
-    inherits = F.col("license").isNull() & F.col("_inherited").isNotNull()
+    inherits = F.col("license").isNull() & F.col(new["_inherited"]).isNotNull()
     return out.select(
-        *[f"`{c}`" for c in keep], F.coalesce("license", "_inherited").alias("license"),
+        *[f"`{c}`" for c in keep], F.coalesce("license", new["_inherited"]).alias("license"),
         F.when(inherits, "inherited").otherwise(F.coalesce("how", F.lit("none"))).alias("how"),
-        "similarity", F.when(inherits, F.col("from_directory")).alias("from_directory"),
+        "similarity", F.when(inherits, F.col(new["_ancestor"])).alias("from_directory"),
     )
 
 

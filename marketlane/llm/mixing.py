@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from marketlane.llm.common import fresh_name, scratch, stored, without
 
@@ -105,7 +106,7 @@ def placed(
     exceeds ``passes`` (at most 2) times the size, and a source's sum is its target to the
     nearest word: the last document may be taken in part. Positions are null where a pass
     takes nothing. Null or empty texts have size 0 and give nothing; a null source is a
-    source of its own. Documents of one key and size tie and are interchangeable, so
+    source of its own. Documents of one key and text tie and are interchangeable, so
     reruns agree. Columns already called so are replaced; an empty table gives no rows.
 
     Running sums are taken in buckets of the shuffled order, 16**``bucket_digits`` for each
@@ -113,22 +114,30 @@ def placed(
     """
     curriculum = curriculum or Curriculum()
     docs = without(docs, [c for c in ADDED if c.lower() not in {key.lower(), source.lower(), text.lower()}])
-    return _placed(docs.withColumn("size", words_in(F.col(text))), curriculum, key, source)
+    order = fresh_name(docs, "_order")
+    sized = docs.withColumn("size", words_in(F.col(text))).withColumn(order, shuffled_order(key, text))
+    return _placed(sized, curriculum, source, order)
 
 
-def _placed(sized: DataFrame, curriculum: Curriculum, key: str, source: str) -> DataFrame:
-    temp = {n: fresh_name(sized, n) for n in ("_order", "_bucket", "_number", "_own", "_before", "_source")}
-    names = [c for c in sized.columns if c != "size"]
-    order, bucket, number = temp["_order"], temp["_bucket"], temp["_number"]
-    # The shuffled order is that of a digest of the key; its first digits are the bucket.
-    rows = sized.withColumn(order, F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")))
-    rows = rows.withColumn(bucket, F.substring(order, 1, curriculum.bucket_digits))
+def shuffled_order(key: str, text: str) -> Column:
+    """A digest of key and text: rows of one key lie apart unless their texts are the same too."""
+    of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return F.md5(F.concat(of(key), F.lit(":"), F.md5(of(text).cast("binary"))).cast("binary"))
+
+
+def _placed(sized: DataFrame, curriculum: Curriculum, source: str, order: str) -> DataFrame:
+    wishes = ("_bucket", "_number", "_own", "_before", "_source", "_at")
+    temp = {n: fresh_name(sized, n) for n in wishes}
+    names = [c for c in sized.columns if c not in ("size", order)]
+    bucket, number = temp["_bucket"], temp["_number"]
+    # The first digits of the shuffled order are the bucket.
+    rows = sized.withColumn(bucket, F.substring(order, 1, curriculum.bucket_digits))
     with scratch(sized.sparkSession) as keep:
         offsets = keep(_offsets(rows, source, bucket, curriculum, temp))
-    inside = Window.partitionBy(source, bucket).orderBy(order, "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(source, bucket).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn(temp["_own"], F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rows = rows.join(
-        offsets, F.col(source).eqNullSafe(F.col(temp["_source"])) & (F.col(bucket) == F.col("_b"))
+        offsets, F.col(source).eqNullSafe(F.col(temp["_source"])) & (F.col(bucket) == F.col(temp["_at"]))
     )
 
     place = F.col(temp["_own"]) + F.col(temp["_before"])
@@ -146,13 +155,22 @@ def _placed(sized: DataFrame, curriculum: Curriculum, key: str, source: str) ->
 def _offsets(rows: DataFrame, source: str, bucket: str, curriculum: Curriculum, temp: dict[str, str]) -> DataFrame:
     """Words before each bucket of each source, with the source's number and target."""
     sums = rows.groupBy(F.col(source).alias("_source"), F.col(bucket).alias("_b")).agg(F.sum("size").alias("_sum"))
-    sums = stored(sums, "bucket-sums")
+    sums = stored(sums.withColumn("_wide", F.substring("_b", 1, curriculum.bucket_digits // 2)), "bucket-sums")
     per = stored(source_targets(sums, curriculum), "source-targets")
-    earlier = Window.partitionBy("_source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sums.withColumn(temp["_before"], F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
-    shifts = shifts.select(F.col("_source").alias("_s"), "_b", temp["_before"])
+
+    def before(window: WindowSpec) -> Column:
+        return F.coalesce(F.sum("_sum").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    # Two levels: buckets inside a range of them, then the ranges of a source.
+    inner = sums.withColumn("_near", before(Window.partitionBy("_source", "_wide").orderBy("_b")))
+    ranges = sums.groupBy("_source", "_wide").agg(F.sum("_sum").alias("_sum"))
+    ranges = ranges.withColumn("_far", before(Window.partitionBy("_source").orderBy("_wide")))
+    ranges = ranges.select(F.col("_source").alias("_s"), F.col("_wide").alias("_w"), "_far")
+    shifts = inner.join(ranges, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_wide") == F.col("_w")))
+    shifts = shifts.select("_s", "_b", (F.col("_near") + F.col("_far")).alias("_shift"))
     offsets = per.join(shifts, F.col("_source").eqNullSafe(F.col("_s"))).select(
-        F.col("_source").alias(temp["_source"]), "_b", F.col("number").alias(temp["_number"]), "source_size", "target", temp["_before"]
+        F.col("_source").alias(temp["_source"]), F.col("_b").alias(temp["_at"]), F.col("number").alias(temp["_number"]),
+        "source_size", "target", F.col("_shift").alias(temp["_before"]),
     )
     return stored(offsets, "bucket-offsets")
 
@@ -173,8 +191,9 @@ def training_order(docs: DataFrame, curriculum: Curriculum | None = None, key: s
         F.struct(F.col("second_position").alias("at"), (F.col("taken") - first).alias("words")),
     )
     names = [f"`{c}`" for c in rows.columns if c not in ("position", "second_position", "taken")]
-    out = rows.select(*names, F.explode(F.filter(passes, lambda p: p["words"] > 0)).alias("_pass"))
-    out = out.select(*names, F.col("_pass.at").alias("position"), F.col("_pass.words").alias("words"))
+    part = fresh_name(rows, "_pass")
+    out = rows.select(*names, F.explode(F.filter(passes, lambda p: p["words"] > 0)).alias(part))
+    out = out.select(*names, F.col(f"{part}.at").alias("position"), F.col(f"{part}.words").alias("words"))
     order = [F.col("position"), F.asc_nulls_last(key)]
     return out.repartitionByRange(*order).sortWithinPartitions(*order)
 
@@ -184,8 +203,9 @@ def digest(docs: DataFrame) -> DataFrame:
 
     Sizes are counted once and stored; texts go no further.
     """
-    sized = stored(docs.select("doc_id", "source", words_in("text").alias("size")), "sizes")
-    rows = _placed(sized, Curriculum(), "doc_id", "source")
+    order = shuffled_order("doc_id", "text").alias("_order")
+    sized = stored(docs.select("doc_id", "source", words_in("text").alias("size"), order), "sizes")
+    rows = _placed(sized, Curriculum(), "source", "_order")
     order = [F.asc_nulls_last("position"), F.asc_nulls_last("doc_id")]
     rows = rows.select("doc_id", "size", "source_size", "target", "taken", "position")
     return rows.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -194,7 +214,8 @@ def digest(docs: DataFrame) -> DataFrame:
 #: The same result in DuckDB, from the closed form of the level and the inverted integrals.
 DIGEST_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS shuffled FROM documents
 ), per AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number
   FROM sized GROUP BY source
@@ -209,7 +230,7 @@ WITH sized AS (
   SELECT source, number, source_size, least(most, (SELECT max(level) FROM levels) * weight) AS target FROM levels
 ), places AS (
   SELECT doc_id, size, source_size, target, number, floor(target + 0.5)::BIGINT AS goal,
-         coalesce(sum(size) OVER (PARTITION BY number ORDER BY md5(coalesce(doc_id::VARCHAR, '')), size
+         coalesce(sum(size) OVER (PARTITION BY number ORDER BY shuffled
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 ), parts AS (

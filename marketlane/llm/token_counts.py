@@ -14,6 +14,7 @@ count of the prefix as it would be encoded alone.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from array import array
 from dataclasses import dataclass
@@ -50,10 +51,12 @@ class Vocabulary:
     tokens: dict[bytes, int]
     merges: dict[tuple[bytes, bytes], int]
     specials: tuple[str, ...]
+    digest: str
 
     @staticmethod
     def load(path: str) -> Vocabulary:
-        told = json.loads(Path(path).read_text(encoding="utf-8"))
+        content = Path(path).read_bytes()
+        told = json.loads(content)
         model, cut = told["model"], told.get("pre_tokenizer") or {}
         plain = (
             model.get("type", "BPE") == "BPE" and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
@@ -73,6 +76,7 @@ class Vocabulary:
             {raw(t): i for t, i in model["vocab"].items() if all(c in of for c in t)},
             {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)},
             tuple(a["content"] for a in told.get("added_tokens", [])),
+            hashlib.sha256(content).hexdigest(),
         )
 
 
@@ -263,30 +267,34 @@ class Prefixes:
         return int(fits[-1]) + 1 if len(fits) and budget > 0 else 0
 
 
-_counters: dict[int, PrefixCounter] = {}
+_counters: dict[str, PrefixCounter] = {}
 
 
 def _counter(vocabulary: Vocabulary) -> PrefixCounter:
     """One per Python worker, so that later tasks find the tables of earlier ones."""
-    key = hash((len(vocabulary.tokens), vocabulary.specials, sum(map(len, vocabulary.tokens))))
-    if key not in _counters:
-        _counters[key] = PrefixCounter(vocabulary)
-    return _counters[key]
+    if vocabulary.digest not in _counters:
+        _counters[vocabulary.digest] = PrefixCounter(vocabulary)
+    return _counters[vocabulary.digest]
+
+
+def _steps(counts: np.ndarray) -> bytes:
+    steps = np.diff(counts, prepend=0)
+    if len(steps) and np.abs(steps).max() > 32767:
+        raise OverflowError("counts of neighbouring prefixes differ by more than 16 bits hold")
+    return steps.astype(np.int16).tobytes()
 
 
 def with_prefixes(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", column: str = "prefixes") -> DataFrame:
     """All rows plus ``column``: 16-bit differences of the prefix counts, for ``Prefixes.read``.
 
-    Nulls and empty texts have an empty table. A column already called so is replaced.
+    Nulls and empty texts have an empty table; repeated rows have one each. A column already
+    called so is replaced. Counts of neighbouring prefixes that differ by more than 32,767
+    are an error.
     """
 
     def compute(texts: pa.Array) -> list:
         counter = _counter(vocabulary)
-        made = [
-            np.diff(counter.counts(t), prepend=0).astype(np.int16).tobytes() if t else b""
-            for t in texts.to_pylist()
-        ]
-        return [pa.array(made, pa.binary())]
+        return [pa.array([_steps(counter.counts(t)) if t else b"" for t in texts.to_pylist()], pa.binary())]
 
     return with_text_columns(without(docs, [column]), text, compute, [StructField(column, BinaryType())])
 
@@ -294,7 +302,8 @@ def with_prefixes(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", c
 def budgets(docs: DataFrame, vocabulary: Vocabulary, limit: int, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` and ``n_tokens, cut``: whole count, and where a cut at ``limit`` tokens falls.
 
-    Both are read off the prefix table of each text.
+    Both are read off the prefix table of each text; 0 for null and empty ones. A text is
+    handled whole, in some 30 times its bytes.
     """
 
     def compute(texts: pa.Array) -> list:
@@ -308,7 +317,10 @@ def budgets(docs: DataFrame, vocabulary: Vocabulary, limit: int, text: str = "te
 
 
 def count_rows(docs: DataFrame, path: str, limit: int = 1024, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: UTF-8 bytes, tokens, whether they exceed ``limit``, and the cut there."""
+    """Per document: UTF-8 bytes, tokens, whether they exceed ``limit``, and the cut there.
+
+    Null and empty texts have 0 of each; repeated rows are counted each.
+    """
     sized = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).withColumn(
         "n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
     )
