@@ -16,8 +16,9 @@ from pyspark.sql.types import StructField, StructType
 from marketlane.session import fresh_folder
 from marketlane.sources.tables import delete_path
 
-#: Text handled at once inside a Python task; a longer text is handled alone.
-CHUNK_BYTES = 1 << 20
+#: Text and rows handled at once inside a Python task; a longer text is handled alone.
+CHUNK_BYTES = 1 << 19
+CHUNK_ROWS = 1024
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -100,7 +101,7 @@ def without(frame: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def slices(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of a text column that hold about ``most`` bytes each."""
+    """Row ranges of a text column that hold about ``most`` bytes and ``CHUNK_ROWS`` rows at most."""
     if len(texts) == 0:
         return
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
@@ -109,7 +110,8 @@ def slices(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]
     while start < n:
         base = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
-        yield start, min(stop, n)
+        stop = min(stop, start + CHUNK_ROWS, n)
+        yield start, stop
         start = stop
 
 
