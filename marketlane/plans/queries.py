@@ -18,6 +18,7 @@ from marketlane.operators.dimensions import PRODUCT_ATTRIBUTES, SELLER_ATTRIBUTE
 from marketlane.plans import context, incremental, oracle_cards, oracle_checks, oracle_ingestion, rules, workflows
 from marketlane.plans.context import edge, lazy, published
 from marketlane.plans.damage import DAMAGE
+from marketlane.plans.history import History
 from marketlane.plans.oracle_models import checked, with_models
 from marketlane.plans.warehouse import Overlay, Warehouse
 from marketlane.sources import enrichment, landing, raw_files, tables
@@ -179,6 +180,15 @@ def _second_state(source: DataFrame, key: str, changed: str) -> DataFrame:
     return later.unionByName(added)
 
 
+def _stored_runs(source: DataFrame, key: str, tracked: list[str], changed: str) -> DataFrame:
+    """The history that three separate runs left in the shared folder."""
+    kept = History(session.fresh_folder(source.sparkSession, f"history-{key}"), key, tracked)
+    kept.take(source, FIRST_RUN)
+    kept.take(_second_state(source, key, changed), SECOND_RUN)
+    kept.take(source, THIRD_RUN)
+    return kept.read(source.sparkSession)
+
+
 def _three_runs(source: DataFrame, key: str, tracked: list[str], changed: str, **options) -> DataFrame:
     history = snapshots.first_versions(source, key, tracked, FIRST_RUN)
     later = _second_state(source, key, changed)
@@ -188,7 +198,7 @@ def _three_runs(source: DataFrame, key: str, tracked: list[str], changed: str, *
 
 @register("e1_snap_sellers", oracle_ingestion.snapshot("seller_id", SELLER_ATTRIBUTES, "dim_seller", "seller_city"))
 def snap_sellers(spark: SparkSession, folder: str) -> DataFrame:
-    return _three_runs(lazy(spark, folder)["dim_seller"], "seller_id", SELLER_ATTRIBUTES, "seller_city")
+    return _stored_runs(lazy(spark, folder)["dim_seller"], "seller_id", SELLER_ATTRIBUTES, "seller_city")
 
 
 @register(
@@ -197,7 +207,7 @@ def snap_sellers(spark: SparkSession, folder: str) -> DataFrame:
 )
 def snap_products(spark: SparkSession, folder: str) -> DataFrame:
     source = lazy(spark, folder)["dim_product"]
-    return _three_runs(source, "product_id", PRODUCT_ATTRIBUTES, "product_category_name")
+    return _stored_runs(source, "product_id", PRODUCT_ATTRIBUTES, "product_category_name")
 
 
 @register(
@@ -360,21 +370,19 @@ def incremental_partitions(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("i1_publish_twice", oracle_ingestion.FULL_FACT)
 def publish_twice(spark: SparkSession, folder: str) -> DataFrame:
-    """A fact stored by an earlier run with recent orders still processing, then refreshed
-    by a second publish and opened from the folder."""
-    w = published(spark, folder)
-    again = Warehouse(w.raw, w.settings, session.fresh_folder(spark, "published-twice"), day_partitions=False)
-    for name in ("stg_orders", "stg_order_items", "stg_payments", "stg_customers", "int_order_delivery"):
-        again.adopt(name, w[name])
-    last = F.date_sub(w["fact_orders"].agg(F.max("purchase_date")).scalar(), 60)
-    earlier = w["fact_orders"].withColumn(
-        "order_status", F.when(F.col("purchase_date") > last, "processing").otherwise(F.col("order_status"))
+    """Published without the last days' orders and with others still processing; opened in
+    another session over all raw rows, published again, and opened once more."""
+    w = lazy(spark, folder)
+    target = session.fresh_folder(spark, "published-twice")
+    orders, bought = w.raw["orders"], F.to_date(F.substring("order_purchase_timestamp", 1, 10))
+    last = F.date_sub(orders.agg(F.max(bought)).scalar(), 30)
+    known = orders.filter(bought <= last).withColumn(
+        "order_status", F.when(bought > F.date_sub(last, 30), "processing").otherwise(F.col("order_status"))
     )
-    table = again.table("fact_orders")
-    tables.replace_table(incremental.with_month(earlier), table, [incremental.MONTH], incremental.FACT_CLUSTER)
-    incremental.refresh_fact_orders(spark, again, table)
-    opened = Warehouse.open(spark, again.folder, w.settings)
-    return opened["fact_orders"].select(*FACT_COLUMNS)
+    first = Warehouse({**w.raw, "orders": known}, w.settings, target, day_partitions=False)
+    first["fact_orders"]
+    incremental.publish_again(spark, Warehouse.open(spark, target, w.settings, w.raw, day_partitions=False))
+    return Warehouse.open(spark, target, w.settings)["fact_orders"].select(*FACT_COLUMNS)
 
 
 @register("i2_full_refresh", oracle_ingestion.FULL_FACT)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from marketlane import contracts
 from marketlane.operators import dimensions, facts, intermediate, marts, staging
+from marketlane.plans.history import History
 from marketlane.settings import Settings
 from marketlane.sources import tables
+from marketlane.sources.raw_files import as_utc
 
 # Relation -> how it follows from the others. ``w`` is a Warehouse.
 RELATIONS = {
@@ -120,6 +122,12 @@ def with_month(frame: DataFrame) -> DataFrame:
     return frame.withColumn(MONTH, F.date_format("purchase_date", "yyyy-MM"))
 
 
+# Stored histories: the relation whose state they keep, its key, and what they track.
+HISTORIES: dict[str, tuple[str, str, Sequence[str]]] = {
+    "snap_sellers": ("dim_seller", "seller_id", dimensions.SELLER_ATTRIBUTES),
+    "snap_products": ("dim_product", "product_id", dimensions.PRODUCT_ATTRIBUTES),
+}
+
 PUBLISH_STEPS = (
     tuple(name for name in LAYOUT if name.startswith("stg_")),
     ("dim_date", "dim_customer", "dim_product", "dim_seller", "order_customers"),
@@ -164,13 +172,14 @@ class Warehouse:
         folder: str,
         settings: Settings | None = None,
         raw: Mapping[str, DataFrame] | None = None,
+        day_partitions: bool = True,
     ) -> Warehouse:
         """A published warehouse: stored tables are read as they are.
 
         Relations that are not stored follow from those that are; ones that need raw rows
         can only be asked for when ``raw`` is given.
         """
-        opened = cls(raw or {}, settings, folder, reuse=True)
+        opened = cls(raw or {}, settings, folder, day_partitions, reuse=True)
         opened.spark = spark
         return opened
 
@@ -213,13 +222,24 @@ class Warehouse:
         tables.replace_table(written, self.table(name), partition_by, cluster, allow_empty=True)
         return tables.read_table(frame.sparkSession, self.table(name)).select(*frame.columns)
 
+    def history(self, name: str) -> History:
+        """The stored history of sellers or products."""
+        _, key, tracked = HISTORIES[name]
+        return History(self.table(name), key, tracked)
+
+    def take_histories(self) -> None:
+        """Carry the stored histories on; ``settings.now`` names the run."""
+        for name, (source, _, _) in HISTORIES.items():
+            self.history(name).take(self[source], as_utc(self.settings.now))
+
     def publish(self, at_once: int = 4) -> dict[str, DataFrame]:
-        """Build all stored tables, several Spark jobs at a time.
+        """Build all stored tables, several Spark jobs at a time; histories come first.
 
         The tables of a step need only those of earlier steps.
         """
         if self.folder is None:
             raise ValueError("a folder is needed to publish to")
+        self.take_histories()
         with ThreadPoolExecutor(at_once) as pool:
             for step in PUBLISH_STEPS:
                 list(pool.map(self.__getitem__, step))
