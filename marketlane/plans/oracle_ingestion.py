@@ -358,15 +358,30 @@ REPLACED = query(
     *raw_needs(["orders"]),
     extra=raw_ctes(["orders"]),
 )
-_FILES = """SELECT DISTINCT batch_id, source_name, 'shop_' || source_name || '_dataset.csv' AS source_file_name
-    FROM (SELECT CAST(year(d) AS VARCHAR) AS batch_id, unnest(['orders', 'customers']) AS source_name FROM o
-          UNION ALL SELECT CAST(year(review_created_at_utc) AS VARCHAR), 'order_reviews' FROM stg_reviews)"""
-DISCOVERED = query("batch_id:s source_name:s source_file_name:s", _FILES, "o", "stg_reviews")
-UNSEEN = query(
+_LANDED = """SELECT source_name, batch_id, count(*) AS row_count FROM (
+        SELECT 'orders' AS source_name, CAST(year(order_purchase_timestamp) AS VARCHAR) AS batch_id FROM raw_orders
+        UNION ALL SELECT 'customers', CAST(year(d) AS VARCHAR) FROM o
+        UNION ALL SELECT 'order_reviews', CAST(year(review_created_at_utc) AS VARCHAR) FROM stg_reviews
+        UNION ALL SELECT 'order_items', CAST(CAST(order_id AS BIGINT) % 3 + 1992 AS VARCHAR) FROM raw_order_items
+        UNION ALL SELECT 'order_payments', CAST(CAST(order_id AS BIGINT) % 3 + 1992 AS VARCHAR) FROM raw_order_payments
+        UNION ALL SELECT 'sellers', CAST(CAST(seller_id AS BIGINT) % 3 + 1992 AS VARCHAR) FROM raw_sellers
+        UNION ALL SELECT 'products', CAST(CAST(product_id AS BIGINT) % 3 + 1992 AS VARCHAR) FROM raw_products
+        UNION ALL SELECT 'geolocation', CAST(CAST(geolocation_zip_code_prefix AS BIGINT) % 3 + 1992 AS VARCHAR)
+            FROM raw_geolocation)
+    GROUP BY source_name, batch_id"""
+_FILES = "SELECT batch_id, source_name, 'shop_' || source_name || '_dataset.csv' AS source_file_name FROM landed"
+
+
+def landed_query(columns: str, sql: str, *extra: tuple[str, str]) -> str:
+    """SQL over ``landed``: rows of each source and batch in the landing folder."""
+    needed = raw_needs(SOURCES)
+    return query(columns, sql, "o", *needed, extra=(*raw_ctes(SOURCES), ("landed", _LANDED), *extra))
+
+
+DISCOVERED = landed_query("batch_id:s source_name:s source_file_name:s", _FILES)
+UNSEEN = landed_query(
     "batch_id:s source_name:s source_file_name:s",
     f"SELECT * FROM ({_FILES}) WHERE CAST(batch_id AS BIGINT) % 2 = 0",
-    "o",
-    "stg_reviews",
 )
 
 # --- Ledger ------------------------------------------------------------------
@@ -520,29 +535,24 @@ BOOTSTRAP = query(
 _YEARS = """SELECT CAST(year(d) AS VARCHAR) AS batch_id,
     count(*) + count(*) FILTER (left(priority, 1) IN ('1', '2')) AS order_rows,
     count(*) AS customer_rows, count(arrived) > 0 AS has_deliveries FROM o GROUP BY 1"""
-INCREMENTAL = query(
+_LOADED_FILES = """SELECT l.source_name, l.batch_id, l.row_count,
+    CASE WHEN l.source_name = 'orders' THEN 'succeeded' ELSE 'not_required' END AS holiday_status,
+    CASE WHEN has_deliveries THEN 'succeeded' ELSE 'not_required' END AS weather_status
+    FROM landed l LEFT JOIN years y ON l.source_name = 'orders' AND l.batch_id = y.batch_id"""
+INCREMENTAL = landed_query(
     "source_name:s publish_status:s holiday_status:s weather_status:s batches:n row_count:n "
     "first_run_batches:n second_run_no_op:b",
-    """SELECT *, sum(batches) OVER () AS first_run_batches, true AS second_run_no_op FROM (
-        SELECT 'orders' AS source_name, 'published' AS publish_status, 'succeeded' AS holiday_status,
-            CASE WHEN has_deliveries THEN 'succeeded' ELSE 'not_required' END AS weather_status,
-            count(*) AS batches, sum(order_rows) AS row_count FROM years GROUP BY has_deliveries
-        UNION ALL SELECT 'customers', 'published', 'not_required', 'not_required', count(*),
-            sum(customer_rows) FROM years
-        UNION ALL SELECT 'order_reviews', 'published', 'not_required', 'not_required',
-            count(DISTINCT year(review_created_at_utc)), count(*) FROM stg_reviews)""",
-    "o",
-    "stg_reviews",
-    extra=(("years", _YEARS),),
+    f"""SELECT *, sum(batches) OVER () AS first_run_batches, true AS second_run_no_op FROM (
+        SELECT source_name, 'published' AS publish_status, holiday_status, weather_status, count(*) AS batches,
+            sum(row_count) AS row_count FROM ({_LOADED_FILES}) GROUP BY ALL)""",
+    ("years", _YEARS),
 )
-STREAMED = query(
+STREAMED = landed_query(
     f"{_BATCH} raw_loaded_rows:n holiday_status:s weather_status:s publish_status:s",
-    """SELECT 'orders' AS source_name, batch_id, 'shop_orders_dataset.csv' AS source_file_name,
-    order_rows AS raw_loaded_rows, 'pending' AS holiday_status,
-    CASE WHEN has_deliveries THEN 'pending' ELSE 'not_required' END AS weather_status,
-    'pending' AS publish_status FROM years""",
-    "o",
-    extra=(("years", _YEARS),),
+    f"""SELECT source_name, batch_id, 'shop_' || source_name || '_dataset.csv' AS source_file_name,
+    row_count AS raw_loaded_rows, holiday_status, weather_status, 'published' AS publish_status
+    FROM ({_LOADED_FILES})""",
+    ("years", _YEARS),
 )
 FRESHNESS = query(
     "source_name:s newest_at_utc:ts warn_hours:n error_hours:n age_hours:d status:s",

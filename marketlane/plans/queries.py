@@ -438,22 +438,29 @@ MOMENT = context.NOW
 
 
 def _landed(spark: SparkSession, folder: str) -> str:
-    """A landing folder with one batch per purchase year: orders, reviews, customers."""
+    """A landing folder of all eight sources, with one batch per year: of purchase, review
+    or first batch where rows have one, else of three by their number."""
 
     def make() -> str:
         raw = lazy(spark, folder).raw
         target = session.fresh_folder(spark, "landing")
-        years = {
+        third = lambda number: (F.trim(number).cast("bigint") % 3 + 1992).cast("string")
+        batches = {
             "orders": F.substring(F.trim("batch_id"), 1, 4),
+            "order_items": third("order_id"),
+            "order_payments": third("order_id"),
             "order_reviews": F.substring("review_creation_date", 1, 4),
             "customers": F.substring("batch_id", 1, 4),
+            "sellers": third("seller_id"),
+            "products": third("product_id"),
+            "geolocation": third("geolocation_zip_code_prefix"),
         }
-        for name, year in years.items():
+        for name, batch in batches.items():
             spec = SOURCES[name]
-            frame = raw[name].withColumn("_year", year)
+            frame = raw[name].withColumn("_batch", batch)
             # One folder per year: a bounded handful.
-            for row in frame.select("_year").distinct().collect():
-                part = frame.filter(F.col("_year") == row[0]).select(*spec.columns)
+            for row in frame.select("_batch").distinct().collect():
+                part = frame.filter(F.col("_batch") == row[0]).select(*spec.columns)
                 landing.land_csv(part, target, row[0], f"shop_{spec.file_suffix}")
         return target
 
@@ -828,14 +835,12 @@ def incremental_load(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("a27_incremental_stream", oracle_ingestion.STREAMED)
 def incremental_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The landing folder as a stream, run until it is drained, twice."""
+    """The landing folder as streams, run until they are drained, enriched and published, twice."""
     store = workflows.Store(session.fresh_folder(spark, "store"))
     checkpoint = session.fresh_folder(spark, "stream-checkpoint")
     target = _landed(spark, folder)
     for _ in range(2):
-        landing_stream.start_load(
-            spark, target, L.ORDERS, store, _roomy(), checkpoint
-        ).awaitTermination()
+        landing_stream.drain(spark, target, store, _roomy(), checkpoint, _extras(spark, folder))
     return L.read_ledger(spark, store.ledger).select(
         *L.KEY, "raw_loaded_rows", "holiday_status", "weather_status", "publish_status"
     )

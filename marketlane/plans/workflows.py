@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,21 +162,49 @@ def load_weather(
     return _write(frame, store.raw("weather_daily"), mode, allow_empty=False)
 
 
+@dataclass(frozen=True)
+class LoadPlan:
+    """What a run has to load: the stored rows of its files, and the physical paths to
+    read together, by source and header. Paths and distinct headers are all the driver
+    holds of them."""
+
+    files: DataFrame
+    paths: dict[str, dict[tuple[str, ...], list[str]]]
+
+
+def plan_load(spark: SparkSession, landing_folder: str, ledger: DataFrame) -> LoadPlan:
+    """Files that the ledger does not have as loaded, grouped by header.
+
+    Discovery, the join with the ledger and the first lines of all new files are one Spark
+    job each, whatever the number of files. Files without a byte are not listed.
+    """
+    new = L.unseen_files(landing.discover_batch_files(spark, landing_folder), ledger)
+    folder = fresh_folder(spark, "load-plan")
+    new.write.parquet(folder)
+    files = spark.read.schema(new.schema).parquet(folder)
+    logical = [row[0] for row in files.select("path").collect()]
+    paths: dict[str, dict[tuple[str, ...], list[str]]] = {}
+    if logical:
+        lines = raw_files.first_lines(spark, logical)
+        located = landing.batch_file_rows(lines, F.col("file"), landing_folder, "header", "file")
+        grouped = located.groupBy("source_name", "header").agg(F.collect_list("file").alias("paths"))
+        for name, header, same in grouped.collect():
+            paths.setdefault(name, {}).setdefault(tuple(raw_files.parsed_header(header)), []).extend(same)
+    return LoadPlan(files, paths)
+
+
 def read_batch_files(
-    spark: SparkSession, root: str, paths: list[str], spec: SourceSpec, moment: datetime
+    spark: SparkSession, root: str, by_header: dict[tuple[str, ...], list[str]], spec: SourceSpec, moment: datetime
 ) -> DataFrame:
     """Many landing files of one source as one frame, whatever their column order.
 
     Files with the same header are read together; batch and file name come from
     each row's own path.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        by_header.setdefault(tuple(raw_files.header_names(spark, path)), []).append(path)
     frames = []
-    for header, same in by_header.items():
+    for header, same in sorted(by_header.items()):
         frame = raw_files.standardize_columns(
-            raw_files.read_csv(spark, same, list(header), spec.multi_line)
+            raw_files.read_csv(spark, sorted(same), list(header), spec.multi_line)
         )
         raw_files.require_columns(frame, spec)
         names = frame.columns
@@ -194,6 +220,8 @@ def read_batch_files(
         )
         loaded = with_load(annotated, F.substring_index("_path", "/", -1))
         frames.append(loaded.select(*names, *METADATA, *LOAD))
+    if not frames:
+        raise ValueError(f"{spec.name}: no header line in any file")
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame, allowMissingColumns=True)
@@ -234,22 +262,15 @@ def incremental_load(
     moment = raw_files.as_utc(settings.now)
     now = F.lit(moment).cast("timestamp")
     before = L.read_ledger(spark, store.ledger)
-    files = landing.discover_batch_files(spark, landing_folder)
-    new_files = L.unseen_files(files, before).orderBy("batch_id", "source_name").collect()
-
-    for name, spec in SOURCES.items():
-        mine = [row for row in new_files if row["source_name"] == name]
-        if not mine:
-            continue
-        key_rows = spark.createDataFrame(
-            [(name, r["batch_id"], r["source_file_name"], store.raw(name)) for r in mine],
-            "source_name string, batch_id string, source_file_name string, raw_table_id string",
-        )
+    plan = plan_load(spark, landing_folder, before)
+    key_columns = [*L.KEY, "raw_table_id"]
+    for name in (r[0] for r in plan.files.select("source_name").distinct().orderBy("source_name").collect()):
+        spec = SOURCES[name]
+        files = plan.files.filter(F.col("source_name") == name)
+        key_rows = files.withColumn("raw_table_id", F.lit(store.raw(name))).select(*key_columns)
         prior = L.read_ledger(spark, store.ledger)
         try:
-            loads = load_batches(
-                spark, landing_folder, [r["path"] for r in mine], spec, store, settings, moment
-            )
+            loads = load_batches(spark, landing_folder, files, plan.paths.get(name, {}), spec, store, settings, moment)
             rows = key_rows.join(loads, L.KEY, "left").withColumn(
                 "raw_loaded_rows", F.coalesce("raw_loaded_rows", F.lit(0))
             )
@@ -257,7 +278,17 @@ def incremental_load(
         except Exception as problem:
             save_ledger(spark, store, L.failed_rows(key_rows, prior, problem, now))
             raise
+    return finish_load(spark, store, settings, extras, before)
 
+
+def finish_load(
+    spark: SparkSession, store: Store, settings: Settings, extras: Enrichment, before: DataFrame
+) -> RunSummary:
+    """Enrich the orders still waiting and publish what is ready; batch and stream end so.
+
+    ``before`` is the ledger as the run found it.
+    """
+    now = F.lit(raw_files.as_utc(settings.now)).cast("timestamp")
     current = L.read_ledger(spark, store.ledger)
     pending = L.pending_orders(current)
     L.require_recoverable(pending)
@@ -288,7 +319,8 @@ def incremental_load(
 def load_batches(
     spark: SparkSession,
     root: str,
-    paths: list[str],
+    files: DataFrame,
+    by_header: dict[tuple[str, ...], list[str]],
     spec: SourceSpec,
     store: Store,
     settings: Settings,
@@ -299,14 +331,13 @@ def load_batches(
     Orders are checked, counted and their windows taken in one pass before anything is
     written; other sources are counted from the batches just written.
     """
-    frame = read_batch_files(spark, root, paths, spec, moment)
+    frame = read_batch_files(spark, root, by_header, spec, moment)
     if spec.name == L.ORDERS:
         loads = checked_windows(frame, settings)
         tables.overwrite_partitions(frame, store.raw(spec.name), LOAD)
         return loads
     tables.overwrite_partitions(frame, store.raw(spec.name), LOAD)
-    batches = {p.rstrip("/").rsplit("/", 2)[-2] for p in paths}
-    return written_rows(spark, store, spec, batches, F.lit(moment).cast("timestamp"))
+    return written_rows(spark, store, spec, files, F.lit(moment).cast("timestamp"))
 
 
 def checked_windows(frame: DataFrame, settings: Settings) -> DataFrame:
@@ -323,13 +354,15 @@ def checked_windows(frame: DataFrame, settings: Settings) -> DataFrame:
 
 
 def written_rows(
-    spark: SparkSession, store: Store, spec: SourceSpec, folders: Iterable[str], loaded_at: Column
+    spark: SparkSession, store: Store, spec: SourceSpec, files: DataFrame, loaded_at: Column
 ) -> DataFrame:
-    """Rows per file of a load, from the partitions of its batch folders only."""
-    batches = [f"b_{unquote(f).strip()}" for f in folders]
+    """Rows per file of a load, from the partitions of its batches only: the join on the
+    partition column prunes them as it runs."""
+    batches = files.select(F.concat(F.lit("b_"), "batch_id").alias(BATCH_PARTITION)).distinct()
     return (
         tables.read_table(spark, store.raw(spec.name))
-        .filter(F.col(BATCH_PARTITION).isin(batches) & (F.col("ingested_at_utc") == loaded_at))
+        .join(batches, BATCH_PARTITION, "left_semi")
+        .filter(F.col("ingested_at_utc") == loaded_at)
         .withColumn("source_name", F.lit(spec.name))
         .groupBy(*L.KEY)
         .agg(F.count(F.lit(1)).alias("raw_loaded_rows"))

@@ -26,8 +26,11 @@ def discover_batch_files(spark: SparkSession, landing: str) -> DataFrame:
     return batch_file_rows(paths, F.col("path"), landing).distinct()
 
 
-def batch_file_rows(frame: DataFrame, path: Column, landing: str) -> DataFrame:
-    """Split paths below ``landing`` into batch, file and source; drop the unknown."""
+def batch_file_rows(frame: DataFrame, path: Column, landing: str, *keep: str) -> DataFrame:
+    """Split paths below ``landing`` into batch, file and source; drop the unknown.
+
+    ``keep`` names columns of the frame to carry on.
+    """
     root = landing.split(":", 1)[-1].lstrip("/").rstrip("/")
     inner = F.split(F.substring_index(path, f"{root}/", -1), "/")
     base = F.substring_index(path, f"{root}/", 1)
@@ -38,6 +41,7 @@ def batch_file_rows(frame: DataFrame, path: Column, landing: str) -> DataFrame:
             source_name(file_name).alias("source_name"),
             file_name.alias("source_file_name"),
             F.concat(base, F.lit(f"{root}/"), batch, F.lit("/"), file_name).alias("path"),
+            *keep,
         )
         .filter(F.col("source_name").isNotNull() & (F.col("batch_id") != ""))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import os
 import re
 from collections.abc import Iterable
@@ -85,6 +86,24 @@ def add_batch_metadata(
     )
 
 
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``file, header``: the first line of every physical file below the paths, in one job.
+
+    A file's first line is the first one of the split that begins it. Files without any
+    line have no row.
+    """
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    lines = lines.filter("start = 0").withColumn("at", F.monotonically_increasing_id())
+    return lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+
+
+def parsed_header(line: str) -> list[str]:
+    """Column names of a CSV header line."""
+    return next(csv.reader([line.lstrip("\ufeff")]), [])
+
+
 def header_names(spark: SparkSession, path: str) -> list[str]:
     """Column names in the header of one file; reads its first line only."""
     return spark.read.option("header", True).option("inferSchema", False).csv(path).columns

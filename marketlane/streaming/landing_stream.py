@@ -11,7 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlane.operators import ledger as L
-from marketlane.plans.workflows import BATCH_PARTITION, LOAD, Store, save_ledger, with_load
+from marketlane.plans.workflows import (
+    BATCH_PARTITION,
+    LOAD,
+    Enrichment,
+    RunSummary,
+    Store,
+    finish_load,
+    save_ledger,
+    with_load,
+)
 from marketlane.session import fresh_folder
 from marketlane.settings import Settings
 from marketlane.sources import tables
@@ -87,6 +96,26 @@ def start_load(
     )
 
 
+def drain(
+    spark: SparkSession,
+    landing: str,
+    store: Store,
+    settings: Settings,
+    checkpoint: str,
+    extras: Enrichment | None = None,
+) -> RunSummary:
+    """Load what has landed of all sources, enrich the waiting orders, publish what is ready.
+
+    Each source has its own stream, with its own columns and its own checkpoint below
+    ``checkpoint``; they run one after the other, since all write to one ledger. Then
+    enrichment and gate go over the ledger as after a batch load, so both leave the same.
+    """
+    before = L.read_ledger(spark, store.ledger)
+    for source in SOURCES:
+        start_load(spark, landing, source, store, settings, f"{checkpoint}/{source}").awaitTermination()
+    return finish_load(spark, store, settings, extras or Enrichment(), before)
+
+
 def _without_malformed(
     spark: SparkSession, rows: DataFrame, store: Store, settings: Settings, now: Column
 ) -> DataFrame:

@@ -266,3 +266,40 @@ def test_stream_marks_a_malformed_order_file_as_failed(spark, tmp_path, store):
     states = {batch: row["raw_status"] for (_, batch), row in ledger_rows(spark, store).items()}
     assert states == {"0001": "loaded", "0002": "failed"}
     assert [r["order_id"] for r in tables.read_table(spark, store.raw("orders")).collect()] == ["o1"]
+
+
+def test_many_files_are_planned_in_a_fixed_number_of_jobs(spark, tmp_path):
+    def jobs_of(folder, group):
+        spark.sparkContext.setJobGroup(group, group)
+        plan = workflows.plan_load(spark, str(folder), L.read_ledger(spark, str(tmp_path / "no-ledger")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return plan, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    for name, batches in (("few", 3), ("many", 1000)):
+        for n in range(batches):
+            batch = tmp_path / name / f"b{n}"
+            batch.mkdir(parents=True)
+            header = "seller_id,seller_zip_code_prefix,seller_city,seller_state"
+            other = '\ufeffSeller State,seller_city,"seller_zip_code_prefix",Seller-ID'
+            (batch / "sellers_dataset.csv").write_text(f"{header if n % 2 else other}\n{n},1,x,y\n", encoding="utf-8")
+            (batch / "shop_customers_dataset.csv").write_text("customer_id\n1\n", encoding="utf-8")
+    few, few_jobs = jobs_of(tmp_path / "few", "few-files")
+    many, many_jobs = jobs_of(tmp_path / "many", "many-files")
+    assert many.files.count() == 2000 and few.files.count() == 6
+    assert [len(many.paths[s]) for s in ("sellers", "customers")] == [2, 1]
+    assert sum(len(p) for p in many.paths["sellers"].values()) == 1000
+    assert ("Seller State", "seller_city", "seller_zip_code_prefix", "Seller-ID") in many.paths["sellers"]
+    # Listing many folders is a job of its own, once for each read.
+    assert many_jobs <= few_jobs + 3 < 20
+
+
+def test_a_file_without_a_header_fails_its_source(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for n, text in enumerate(["seller_id,seller_zip_code_prefix,seller_city,seller_state\n1,2,x,y\n", "\n"]):
+        (landing / f"b{n}").mkdir(parents=True)
+        (landing / f"b{n}" / "sellers_dataset.csv").write_text(text)
+    store = workflows.Store(str(tmp_path / "store"))
+    with pytest.raises(ValueError, match="required"):
+        workflows.incremental_load(spark, str(landing), store, RUN)
+    states = {(r["batch_id"], r["raw_status"]) for r in L.read_ledger(spark, store.ledger).collect()}
+    assert states == {("b0", "failed"), ("b1", "failed")}
