@@ -142,6 +142,8 @@ def with_text_columns(
                 made = [m if isinstance(m, pa.Array) else pa.array(m) for m in made]
                 kept = [part.column(i) for i in range(len(names))]
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=schema.names)
+            # A worker that waits for its next task keeps no more than it must.
+            pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
 
