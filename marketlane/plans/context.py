@@ -28,7 +28,7 @@ def _state(spark: SparkSession, folder: str) -> tuple[int, ...]:
     return tuple(x for s in files.listStatus(path) for x in (s.getLen(), s.getModificationTime()))
 
 
-def _once(spark: SparkSession, folder: str, what: str, make):
+def once(spark: SparkSession, folder: str, what: str, make):
     key = (spark.sparkContext.applicationId, folder, _state(spark, folder), what)
     if key not in _CACHE:
         _CACHE[key] = make()
@@ -38,7 +38,7 @@ def _once(spark: SparkSession, folder: str, what: str, make):
 def lazy(spark: SparkSession, folder: str) -> Warehouse:
     """Every relation as one plan from the given tables."""
     session.prepare(spark)
-    return _once(spark, folder, "lazy", lambda: Warehouse(raw_relations(spark, folder), settings()))
+    return once(spark, folder, "lazy", lambda: Warehouse(raw_relations(spark, folder), settings()))
 
 
 def published(spark: SparkSession, folder: str) -> Warehouse:
@@ -54,7 +54,7 @@ def published(spark: SparkSession, folder: str) -> Warehouse:
         # Sorted files suit the size of the test tables; day folders suit large ones.
         return Warehouse(raw_relations(spark, folder), settings(), target, day_partitions=False)
 
-    return _once(spark, folder, "published", make)
+    return once(spark, folder, "published", make)
 
 
 def edge(frame: DataFrame) -> DataFrame:

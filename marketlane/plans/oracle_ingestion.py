@@ -298,6 +298,20 @@ LAYOUT = query(
     GROUP BY 1""",
     "mart_customer_experience",
 )
+
+
+def marts_by_day(measures: dict[str, tuple[str, str, str]]) -> str:
+    return query(
+        "mart:s day:t slices:n orders:n amount:d",
+        " UNION ALL ".join(
+            f"SELECT '{mart}' AS mart, {day} AS day, count(*) AS slices, sum({orders}) AS orders, "
+            f"sum(CAST({amount} AS DOUBLE)) AS amount FROM {mart} GROUP BY {day}"
+            for mart, (day, orders, amount) in measures.items()
+        ),
+        *measures,
+    )
+
+
 _MART_WIDTHS = {
     "mart_exec_daily": (25, "orders_count"),
     "mart_seller_performance": (16, "orders_count"),

@@ -368,18 +368,22 @@ def incremental_partitions(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_table(spark, table).select(*FACT_COLUMNS)
 
 
+def _known_before(w: Warehouse) -> DataFrame:
+    """Raw orders as of a month before the last: the newest of them still processing."""
+    orders, bought = w.raw["orders"], F.to_date(F.substring("order_purchase_timestamp", 1, 10))
+    last = F.date_sub(orders.agg(F.max(bought)).scalar(), 30)
+    return orders.filter(bought <= last).withColumn(
+        "order_status", F.when(bought > F.date_sub(last, 30), "processing").otherwise(F.col("order_status"))
+    )
+
+
 @register("i1_publish_twice", oracle_ingestion.FULL_FACT)
 def publish_twice(spark: SparkSession, folder: str) -> DataFrame:
     """Published without the last days' orders and with others still processing; opened in
     another session over all raw rows, published again, and opened once more."""
     w = lazy(spark, folder)
     target = session.fresh_folder(spark, "published-twice")
-    orders, bought = w.raw["orders"], F.to_date(F.substring("order_purchase_timestamp", 1, 10))
-    last = F.date_sub(orders.agg(F.max(bought)).scalar(), 30)
-    known = orders.filter(bought <= last).withColumn(
-        "order_status", F.when(bought > F.date_sub(last, 30), "processing").otherwise(F.col("order_status"))
-    )
-    first = Warehouse({**w.raw, "orders": known}, w.settings, target, day_partitions=False)
+    first = Warehouse({**w.raw, "orders": _known_before(w)}, w.settings, target, day_partitions=False)
     first["fact_orders"]
     incremental.publish_again(spark, Warehouse.open(spark, target, w.settings, w.raw, day_partitions=False))
     return Warehouse.open(spark, target, w.settings)["fact_orders"].select(*FACT_COLUMNS)
@@ -394,19 +398,53 @@ def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_table(spark, table).select(*FACT_COLUMNS)
 
 
+def _published_by_day(spark: SparkSession, folder: str) -> Warehouse:
+    """Marts in day folders, after two publishes: the first without the last month's orders
+    and with those of the month before still processing, the second over all raw rows."""
+
+    def make() -> str:
+        w = lazy(spark, folder)
+        target = session.fresh_folder(spark, "published-by-day")
+        Warehouse({**w.raw, "orders": _known_before(w)}, w.settings, target).publish()
+        incremental.publish_again(spark, Warehouse.open(spark, target, w.settings, w.raw))
+        return target
+
+    return Warehouse.open(spark, context.once(spark, folder, "by-day", make), context.settings())
+
+
+# Mart -> its day, orders and one more amount.
+MART_MEASURES = {
+    "mart_exec_daily": ("calendar_date", "orders_count", "gmv"),
+    "mart_fulfillment_ops": ("purchase_date", "orders_count", "late_days_sum"),
+    "mart_customer_experience": ("purchase_date", "orders_count", "reviews_count"),
+    "mart_seller_performance": ("calendar_date", "orders_count", "gmv"),
+    "mart_seller_experience": ("calendar_date", "attributable_orders_count", "reviews_count"),
+}
+
+
+@register("f_marts_after_second_publish", oracle_ingestion.marts_by_day(MART_MEASURES))
+def marts_after_second_publish(spark: SparkSession, folder: str) -> DataFrame:
+    """All five marts by day, changed days having been built again and no others."""
+    w = _published_by_day(spark, folder)
+    return landing.union_all(
+        [
+            w[name].groupBy(F.col(day).alias("day")).agg(
+                F.lit(name).alias("mart"),
+                F.count(F.lit(1)).alias("slices"),
+                F.sum(orders).alias("orders"),
+                F.sum(F.col(amount).cast("double")).alias("amount"),
+            )
+            for name, (day, orders, amount) in MART_MEASURES.items()
+        ]
+    )
+
+
 @register("f6_physical_layout", oracle_ingestion.LAYOUT)
 def physical_layout(spark: SparkSession, folder: str) -> DataFrame:
-    """A mart stored in date folders and sorted by state, read back for one quarter.
-
-    Months stand in for days here: the test tables have a few slices per day.
-    """
-    w = published(spark, folder)
-    table = session.fresh_folder(spark, "mart-layout")
-    mart = w["mart_customer_experience"].withColumn("month", F.trunc("purchase_date", "month"))
-    tables.replace_table(mart, table, ["month"], ["customer_state"])
+    """A published mart in its date folders, sorted by state, read for one quarter."""
     return (
-        tables.read_table(spark, table)
-        .filter(F.col("month").between(date(2000, 1, 1), date(2000, 3, 31)))
+        _published_by_day(spark, folder)["mart_customer_experience"]
+        .filter(F.col("purchase_date").between(date(2000, 1, 1), date(2000, 3, 31)))
         .groupBy("purchase_date")
         .agg(F.count(F.lit(1)).alias("slices"), F.sum("orders_count").alias("orders_count"))
     )
@@ -464,7 +502,7 @@ def _landed(spark: SparkSession, folder: str) -> str:
                 landing.land_csv(part, target, row[0], f"shop_{spec.file_suffix}")
         return target
 
-    return context._once(spark, folder, "landing", make)
+    return context.once(spark, folder, "landing", make)
 
 
 def _years_of(spark: SparkSession, target: str, name: str) -> list[str]:
@@ -646,7 +684,7 @@ def _holiday_json(spark: SparkSession, folder: str) -> str:
         ).write.json(path)
         return path
 
-    return context._once(spark, folder, "holidays-json", make)
+    return context.once(spark, folder, "holidays-json", make)
 
 
 def _weather_json(spark: SparkSession, folder: str) -> str:
@@ -680,7 +718,7 @@ def _weather_json(spark: SparkSession, folder: str) -> str:
         ).write.json(path)
         return path
 
-    return context._once(spark, folder, "weather-json", make)
+    return context.once(spark, folder, "weather-json", make)
 
 
 @register("a15_normalize_holidays", oracle_ingestion.HOLIDAYS)

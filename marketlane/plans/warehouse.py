@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marketlane import contracts
 from marketlane.operators import dimensions, facts, intermediate, marts, staging
+from marketlane.plans import changes
 from marketlane.plans.history import History
 from marketlane.settings import Settings
 from marketlane.sources import tables
@@ -235,14 +236,19 @@ class Warehouse:
     def publish(self, at_once: int = 4) -> dict[str, DataFrame]:
         """Build all stored tables, several Spark jobs at a time; histories come first.
 
-        The tables of a step need only those of earlier steps.
+        The tables of a step need only those of earlier steps. With day folders, digests
+        of the marts' inputs are stored last, so that a second publish can tell what changed.
         """
         if self.folder is None:
             raise ValueError("a folder is needed to publish to")
         self.take_histories()
+        if self.day_partitions:
+            changes.forget(self, self["dim_date"].sparkSession)
         with ThreadPoolExecutor(at_once) as pool:
             for step in PUBLISH_STEPS:
                 list(pool.map(self.__getitem__, step))
+        if self.day_partitions:
+            changes.keep(self)
         return {name: self[name] for name in LAYOUT}
 
 

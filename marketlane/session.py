@@ -13,11 +13,20 @@ from pyspark.sql import SparkSession
 
 log = logging.getLogger(__name__)
 
+# Folders of a table are listed by this many tasks at most, not by one task for each.
+LISTING_TASKS = "64"
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 _RUN_ID = uuid.uuid4().hex[:12]
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The one setting results depend on; everything else is the session's own choice."""
+    """The one setting results depend on, and fewer tasks to list day folders with.
+
+    Everything else is the session's own choice, and so is the listing where it is set.
+    """
+    if spark.conf.get(_LISTING, None) in (None, "10000"):
+        spark.conf.set(_LISTING, LISTING_TASKS)
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         log.warning("session time zone set to UTC: dates follow it")
         spark.conf.set("spark.sql.session.timeZone", "UTC")

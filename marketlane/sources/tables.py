@@ -141,6 +141,13 @@ def partition_columns(spark: SparkSession, table: str) -> tuple[str, ...] | None
     return tuple(json.loads(_read_text(spark, note))) if path_exists(spark, note) else ()
 
 
+def column_names(spark: SparkSession, table: str) -> list[str] | None:
+    """Columns noted with the current version, without listing its files."""
+    path = current_path(spark, table)
+    schema = _schema_of(spark, path) if path is not None else None
+    return schema.names if schema is not None else None
+
+
 def _require_layout(spark: SparkSession, table: str, partition_by: Sequence[str]) -> None:
     have = partition_columns(spark, table)
     if have is not None and have != tuple(partition_by):
@@ -287,6 +294,35 @@ def overwrite_partitions(frame: DataFrame, table: str, partition_by: Sequence[st
     return WriteResult(table, "overwrite", COMPLETED, int(seen.get["rows"]), len(frame.columns))
 
 
+def replace_days(
+    frame: DataFrame, table: str, partition: str, days: DataFrame, cluster_by: Sequence[str] = ()
+) -> int:
+    """Overwrite the named partitions with the frame's rows; named ones without rows go.
+
+    ``days`` has one column, the values of a date partition: at most one a day, so that
+    the list is bounded. Returns how many partitions were named. Readers see what
+    ``overwrite_partitions`` lets them see.
+    """
+    spark = frame.sparkSession
+    named = {row[0] for row in days.collect()}
+    staged = f"{table}/_staged-{uuid.uuid4().hex[:12]}"
+    try:
+        frame.write.parquet(staged)
+        rows = spark.read.schema(frame.schema).parquet(staged)
+        filled = {row[0] for row in rows.select(partition).distinct().collect()}
+        overwrite_partitions(laid_out(rows, [partition], cluster_by), table, [partition])
+        _remove_partitions(spark, table, partition, named - filled)
+    finally:
+        _try_delete(spark, staged)
+    return len(named)
+
+
+def _remove_partitions(spark: SparkSession, table: str, partition: str, values: set) -> None:
+    for value in values:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+        delete_path(spark, f"{current_path(spark, table)}/{partition}={name}")
+
+
 def upsert_partitions(
     incoming: DataFrame,
     table: str,
@@ -337,9 +373,7 @@ def upsert_partitions(
 
         filled = {row[0] for row in merged.select(partition).distinct().collect()}
         result = overwrite_partitions(merged, table, [partition])
-        for value in set(values) - filled:
-            name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-            delete_path(spark, f"{target}/{partition}={name}")
+        _remove_partitions(spark, table, partition, set(values) - filled)
     finally:
         _try_delete(spark, staged)
     return WriteResult(table, "upsert", COMPLETED, result.loaded_rows, len(incoming.columns))
