@@ -12,6 +12,9 @@ string; it falls with the length of a true key. Benjamini-Hochberg control over
 of the corpus, by length class, decides which are reported: short runs are judged among
 short ones, where chance evenness is common. Probabilities are rounded up to twentieths
 of a decade, so that counts per step, not the runs themselves, decide the threshold.
+
+A run that fixed patterns cover only in part is judged by the rest, put together, where
+that has ``least_rest`` characters, otherwise as a whole; it is reported as a whole.
 """
 
 from __future__ import annotations
@@ -81,6 +84,7 @@ class Battery:
     discovery: float = 0.01
     lengths: tuple[int, ...] = (24, 32, 40, 48, 64, 128)
     steps_per_decade: int = 20
+    least_rest: int = 16
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -95,6 +99,37 @@ def _place(span: tuple[str, int, int]) -> tuple[int, int, int]:
     return span[1], KINDS.index(span[0]), span[2]
 
 
+def uncovered(
+    runs: list[tuple[int, int]], spans: list[tuple[str, int, int]]
+) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """Runs that base spans do not cover from end to end, with the pieces left open.
+
+    Both lists go by start; one pass over both.
+    """
+    joined: list[list[int]] = []
+    for _, start, end in spans:
+        if joined and start <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], end)
+        else:
+            joined.append([start, end])
+    out, at = [], 0
+    for start, end in runs:
+        pieces, place = [], start
+        while at < len(joined) and joined[at][0] < end:
+            left, right = joined[at]
+            if left > place:
+                pieces.append((place, left))
+            place = max(place, right)
+            if right > end:
+                break
+            at += 1
+        if place < end:
+            pieces.append((place, end))
+        if pieces:
+            out.append((start, end, pieces))
+    return out
+
+
 def _normal_tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2.0))
 
@@ -199,13 +234,14 @@ def with_findings(
             spans = base_spans(value)
             bases.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
             own = []
-            for m in _RUN.finditer(value):
-                start, end = m.span()
-                if not any(a < end and start < b for _, a, b in spans):
-                    own.append(
-                        {"start": start, "end": end, "step": step(m[0]),
-                         "stratum": int(np.searchsorted(edges, end - start, side="right"))}
-                    )
+            for start, end, pieces in uncovered([m.span() for m in _RUN.finditer(value)], spans):
+                # What a base span leaves of a key speaks for the key, if it is long enough.
+                rest = "".join(value[a:b] for a, b in pieces)
+                tried = rest if len(rest) >= rules.least_rest else value[start:end]
+                own.append(
+                    {"start": start, "end": end, "step": step(tried),
+                     "stratum": int(np.searchsorted(edges, len(tried), side="right"))}
+                )
             tested.append(own)
         return [pa.array(bases, _ARROW_SPANS), pa.array(tested, _ARROW_RUNS)]
 
@@ -236,6 +272,7 @@ def with_secrets(
     """Rows with ``column``: all secrets as (kind, start, end), by start, then kind.
 
     Places are code points, ends exclusive. All columns stay unless ``keep`` names some.
+    A random key around a base span is a span of its own beside it.
     Nulls and empty texts hold none; an empty table gives no rows; texts are read whole.
     A column already called like ``column`` is replaced.
     """

@@ -302,6 +302,62 @@ def test_redaction(spark, secret_texts):
             assert rows[i]["n_chars"] == (len(expected) if spans else 5)
 
 
+def test_runs_are_skipped_only_where_base_spans_cover_them():
+    rng = random.Random(4)
+    for _ in range(300):
+        cuts = sorted(rng.sample(range(60), 8))
+        runs = list(zip(cuts[::2], cuts[1::2], strict=True))
+        spans = sorted((a := rng.randrange(60), a + rng.randrange(1, 12)) for _ in range(rng.randrange(7)))
+        inside = {i for a, b in spans for i in range(a, b)}
+        found = secret_scan.uncovered(runs, [("hex", a, b) for a, b in spans])
+        assert [f[:2] for f in found] == [(a, b) for a, b in runs if not set(range(a, b)) <= inside]
+        for a, b, pieces in found:
+            assert [i for p in pieces for i in range(*p)] == [i for i in range(a, b) if i not in inside]
+
+
+def test_a_key_around_a_base_span_goes_whole(spark):
+    part = "".join(random.Random(8).choices(secret_scan.ENCODINGS[1][1], k=32))
+    key = "".join(random.Random(5).choices(secret_scan.ENCODINGS[9][1], k=24))
+    around = f"{key[:11]}Q{part}Z{key[12:]}"
+    usual = prose(random.Random(1), 20000)
+    frame = spark.createDataFrame(
+        [(1, f"take {around} now"), (2, usual), (3, f"commit {part}")], "doc_id bigint, text string"
+    )
+    rows = {r["doc_id"]: r for r in secret_scan.digest(frame).collect()}
+    assert rows[1]["spans"] == f"random:5:{5 + len(around)},hex:{17}:{49}"
+    assert rows[1]["n_hex"] == 1
+    assert rows[2]["spans"] == ""
+    assert rows[3]["spans"] == "hex:7:39"
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redacted(frame).collect()}
+    assert clean == {1: "take [random] now", 2: usual, 3: "commit [hex]"}
+
+
+def test_many_spans_and_runs_in_one_text():
+    n = 200_000
+    runs = [(50 * i, 50 * i + 30) for i in range(n)]
+    found = secret_scan.uncovered(runs, [("hex", a, a + (30 if i % 2 else 10)) for i, (a, _) in enumerate(runs)])
+    assert found == [(a, b, [(a + 10, b)]) for a, b in runs[::2]]
+
+
+def plain_discoveries(tests, rules):
+    """Benjamini-Hochberg as it is usually stated, over single runs of one length class."""
+    p = sorted((10.0 ** (-s / rules.steps_per_decade) if s > 0 else 1.0 for s in tests))
+    passing = [i for i, v in enumerate(p, 1) if v <= rules.discovery * i / len(p)]
+    return max(passing, default=0)
+
+
+def test_thresholds_are_benjamini_hochberg_over_all_runs(spark):
+    rules, rng = secret_scan.Battery(), random.Random(12)
+    drawn = [(rng.randrange(4), max(0, int(rng.gauss(20, 25)))) for _ in range(400)]
+    docs = [(drawn[i : i + 7],) for i in range(0, len(drawn), 7)] + [([],)]
+    found = spark.createDataFrame(docs, "r array<struct<stratum int, step int>>")
+    least = secret_scan.thresholds(found, "r", rules)
+    for stratum in range(4):
+        own = [s for k, s in drawn if k == stratum]
+        taken = sum(s >= least[stratum] for s in own) if stratum in least else 0
+        assert taken == plain_discoveries(own, rules)
+
+
 def test_battery_accepts_random_strings_and_rejects_order():
     rng = random.Random(4)
     hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(400)]
