@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlane.functions import mismatch
@@ -102,8 +102,12 @@ class Rules:
         return list(dict.fromkeys([*self.key, *self.required.split()]))
 
 
-def row_rule_counts(frame: DataFrame, relation: str, rules: Rules, kinds: set[str]) -> DataFrame | None:
-    """All row-level rules of a relation in a single pass over it."""
+ROW_RULES = ("not_null", "accepted_values", "accepted_range")
+COUNTS = "relation string, rule string, columns string, violations bigint"
+
+
+def row_tests(rules: Rules, kinds: Iterable[str] = ROW_RULES) -> list[tuple[str, str, Column]]:
+    """Row-level rules of a relation: kind, column, and what is true of a violating row."""
     tests: list[tuple[str, str, Column]] = []
     if "not_null" in kinds:
         tests += [("not_null", c, F.col(c).isNull()) for c in rules.required_columns]
@@ -115,6 +119,29 @@ def row_rule_counts(frame: DataFrame, relation: str, rules: Rules, kinds: set[st
             for r in rules.ranges
             for c in r.columns.split()
         ]
+    return tests
+
+
+def row_measures(rules: Rules) -> dict[str, Column]:
+    """The row-level rules as aggregates, to be counted while the relation is written."""
+    return {f"t{n}": F.count_if(test) for n, (_, _, test) in enumerate(row_tests(rules))}
+
+
+def measured_counts(
+    spark: SparkSession, relation: str, rules: Rules, measured: Mapping[str, int], kinds: Iterable[str]
+) -> DataFrame:
+    """What ``row_rule_counts`` gives, from counts taken when the relation was written."""
+    rows = [
+        (relation, kind, column, int(measured[f"t{n}"]))
+        for n, (kind, column, _) in enumerate(row_tests(rules))
+        if kind in kinds
+    ]
+    return spark.createDataFrame(rows, COUNTS)
+
+
+def row_rule_counts(frame: DataFrame, relation: str, rules: Rules, kinds: set[str]) -> DataFrame | None:
+    """All row-level rules of a relation in a single pass over it."""
+    tests = row_tests(rules, kinds)
     if not tests:
         return None
     counts = frame.agg(*[F.count_if(test).alias(f"t{n}") for n, (_, _, test) in enumerate(tests)])
@@ -142,9 +169,18 @@ def _counted(rows: DataFrame, relation: str, rule: str, columns: str, value: Col
 
 
 def rule_counts(
-    tables: Mapping[str, DataFrame], rules: Mapping[str, Rules], kinds: set[str] | None = None
+    tables: Mapping[str, DataFrame],
+    rules: Mapping[str, Rules],
+    kinds: set[str] | None = None,
+    measured: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
-    """Violations of each declared rule: (relation, rule, columns, violations)."""
+    """Violations of each declared rule: (relation, rule, columns, violations).
+
+    Row-level rules of a relation in ``measured`` were counted when it was written, see
+    ``row_measures``; those of others take one scan of the relation. Keys and references
+    are always looked up in the relations.
+    """
+    measured = measured or {}
     kinds = kinds or {
         "not_null",
         "unique",
@@ -155,9 +191,12 @@ def rule_counts(
     }
     found = []
     for relation, declared in rules.items():
-        row_rules = row_rule_counts(tables[relation], relation, declared, kinds)
-        if row_rules is not None:
-            found.append(row_rules)
+        row_kinds = kinds & {kind for kind, _, _ in row_tests(declared)}
+        if row_kinds and relation in measured:
+            spark = SparkSession.active()
+            found.append(measured_counts(spark, relation, declared, measured[relation], row_kinds))
+        elif row_kinds:
+            found.append(row_rule_counts(tables[relation], relation, declared, row_kinds))
         for key in (declared.key, *declared.more_keys):
             rule = "unique" if len(key) == 1 and not declared.key_where else "unique_combination"
             if key and rule in kinds:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlane import session
+from marketlane.plans import rules
 from marketlane.plans.warehouse import Warehouse
 from marketlane.settings import Settings
 from marketlane.sources.sample_tables import raw_relations
@@ -52,7 +53,9 @@ def published(spark: SparkSession, folder: str) -> Warehouse:
     def make() -> Warehouse:
         target = session.fresh_folder(spark, f"published-{name}")
         # Sorted files suit the size of the test tables; day folders suit large ones.
-        return Warehouse(raw_relations(spark, folder), settings(), target, day_partitions=False)
+        return Warehouse(
+            raw_relations(spark, folder), settings(), target, day_partitions=False, rules=rules.ALL_RULES
+        )
 
     return once(spark, folder, "published", make)
 

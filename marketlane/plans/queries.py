@@ -20,7 +20,7 @@ from marketlane.plans.context import edge, lazy, published
 from marketlane.plans.damage import DAMAGE
 from marketlane.plans.history import History
 from marketlane.plans.oracle_models import checked, with_models
-from marketlane.plans.warehouse import Overlay, Warehouse
+from marketlane.plans.warehouse import LAYOUT, Overlay, Warehouse
 from marketlane.sources import enrichment, landing, raw_files, tables
 from marketlane.sources.registry import SOURCES
 from marketlane.streaming import landing_stream
@@ -314,6 +314,20 @@ for _number, _kind in enumerate(
     _register_rule_kind(_number, _kind)
 
 
+def _stored_rule_sql() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT * FROM ({oracle_ingestion.rule_sql(kind)})" for kind in quality.ROW_RULES
+    )
+    stored = ", ".join(f"'{name}'" for name in LAYOUT)
+    return f"SELECT * FROM ({parts}) WHERE relation IN ({stored})"
+
+
+@register("h_row_rules_while_writing", _stored_rule_sql())
+def row_rules_while_writing(spark: SparkSession, folder: str) -> DataFrame:
+    """Row-level rules of all stored relations, counted in the pass that wrote them."""
+    return published(spark, folder).rule_counts(set(quality.ROW_RULES))
+
+
 @register("m03_mismatch_functions", oracle_ingestion.MISMATCHES)
 def mismatch_functions(spark: SparkSession, folder: str) -> DataFrame:
     """How often each comparison finds paid and due amounts apart."""

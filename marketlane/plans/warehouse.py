@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlane import contracts
-from marketlane.operators import dimensions, facts, intermediate, marts, staging
+from marketlane.operators import dimensions, facts, intermediate, marts, quality, staging
+from marketlane.operators.quality import Rules
 from marketlane.plans import changes
 from marketlane.plans.history import History
 from marketlane.settings import Settings
@@ -149,6 +150,7 @@ class Warehouse:
     them. ``day_partitions`` gives marts the directory-per-day layout, which suits
     large tables; small ones are only sorted. The order fact has a directory per month.
     With ``reuse``, tables already stored in the folder are read and not built again.
+    Row-level ``rules`` of stored relations are counted while these are written.
     """
 
     def __init__(
@@ -158,12 +160,15 @@ class Warehouse:
         folder: str | None = None,
         day_partitions: bool = True,
         reuse: bool = False,
+        rules: Mapping[str, Rules] | None = None,
     ):
         self.raw = raw
         self.settings = settings or Settings()
         self.folder = folder
         self.day_partitions = day_partitions
         self.reuse = reuse
+        self.rules = rules or {}
+        self.measured: dict[str, Mapping[str, int]] = {}
         self._built: dict[str, DataFrame] = {}
 
     @classmethod
@@ -220,9 +225,26 @@ class Warehouse:
         written = frame
         if name == "fact_orders":
             written, partition_by, cluster = with_month(frame), [MONTH], FACT_CLUSTER
-        tables.replace_table(written, self.table(name), partition_by, cluster, allow_empty=True)
+        measures = quality.row_measures(self.rules[name]) if name in self.rules else {}
+        result = tables.replace_table(
+            written, self.table(name), partition_by, cluster, allow_empty=True, measures=measures
+        )
+        if measures:
+            self.measured[name] = result.measured
         return tables.read_table(frame.sparkSession, self.table(name)).select(*frame.columns)
 
+    def rule_counts(self, kinds: set[str] | None = None) -> DataFrame:
+        """Violations of the ``rules`` of stored relations.
+
+        Row-level rules of relations that this warehouse wrote as a whole need no scan:
+        they were counted in the write. Relations written in part (an upserted fact,
+        marts built by days) or read back from an earlier run are scanned.
+        """
+        declared = {name: self.rules[name] for name in LAYOUT if name in self.rules}
+        for name in declared:
+            self[name]
+        return quality.rule_counts(self, declared, kinds, self.measured)
+
     def history(self, name: str) -> History:
         """The stored history of sellers or products."""
         _, key, tracked = HISTORIES[name]

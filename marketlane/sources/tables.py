@@ -6,12 +6,12 @@ import json
 import logging
 import time
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import timedelta
 from itertools import pairwise
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -31,6 +31,7 @@ class WriteResult:
     state: str
     loaded_rows: int
     columns: int
+    measured: Mapping[str, object] = field(default_factory=dict)
 
 
 class EmptyInputError(ValueError):
@@ -186,15 +187,27 @@ def laid_out(
     return frame
 
 
-def _write_counted(frame: DataFrame, path: str, mode: str, partition_by: Sequence[str]) -> int:
-    """Write without a commit marker and count, in one pass."""
+def _write_counted(
+    frame: DataFrame,
+    path: str,
+    mode: str,
+    partition_by: Sequence[str],
+    measures: Mapping[str, Column] | None = None,
+) -> tuple[int, dict[str, object]]:
+    """Write without a commit marker, count and measure, in one pass.
+
+    The measures stand after the layout's exchange, in the tasks that write: of a task
+    that runs twice they count one run.
+    """
     seen = Observation(f"rows-{uuid.uuid4().hex[:8]}")
-    writer = frame.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    taken = [measure.alias(f"m_{name}") for name, measure in (measures or {}).items()]
+    writer = frame.observe(seen, F.count(F.lit(1)).alias("rows"), *taken).write.mode(mode)
     writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return int(seen.get["rows"])
+    values = seen.get
+    return int(values["rows"]), {name: values[f"m_{name}"] for name in measures or {}}
 
 
 def replace_table(
@@ -205,6 +218,7 @@ def replace_table(
     allow_empty: bool = False,
     keep_for: timedelta = timedelta(days=7),
     based_on: str | None = None,
+    measures: Mapping[str, Column] | None = None,
 ) -> WriteResult:
     """Replace a table as one step: readers see the old version or the new one.
 
@@ -213,13 +227,14 @@ def replace_table(
     the version the frame was derived from, a version committed by someone else in the
     meantime is a ``ConflictError``. When anything fails the old version stays current,
     and trouble in cleaning up never hides the first error. Versions stay for readers
-    until ``keep_for`` after they were followed.
+    until ``keep_for`` after they were followed. ``measures`` are aggregates over the
+    rows, taken while they are written and returned in the result.
     """
     spark = frame.sparkSession
     path = _claim(spark, table)
     try:
-        rows = _write_counted(
-            laid_out(frame, partition_by, cluster_by), path, "errorifexists", partition_by
+        rows, measured = _write_counted(
+            laid_out(frame, partition_by, cluster_by), path, "errorifexists", partition_by, measures
         )
         if rows == 0 and not allow_empty:
             raise EmptyInputError(f"{table}: input is empty")
@@ -232,7 +247,7 @@ def replace_table(
         _try_delete(spark, path)
         raise
     _drop_old(spark, table, keep_for)
-    return WriteResult(table, "replace", COMPLETED, rows, len(frame.columns))
+    return WriteResult(table, "replace", COMPLETED, rows, len(frame.columns), measured)
 
 
 def _drop_old(spark: SparkSession, table: str, keep_for: timedelta) -> None:
@@ -262,7 +277,7 @@ def append_table(
         return replace_table(frame, table, partition_by, allow_empty=allow_empty)
     _require_layout(spark, table, partition_by)
     _keep_schema(spark, path, frame.schema)
-    rows = _write_counted(frame, path, "append", partition_by)
+    rows, _ = _write_counted(frame, path, "append", partition_by)
     if rows == 0:
         if allow_empty:
             return WriteResult(table, "append", NO_OP, 0, len(frame.columns))
