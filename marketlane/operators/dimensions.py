@@ -40,7 +40,7 @@ def dim_date(
         F.explode(F.sequence(first, last)).alias("calendar_date")
     )
     names = (
-        holidays.filter(F.col("country_code") == settings.holiday_country.upper())
+        holidays.filter(F.col("country_code") == settings.holiday_country.strip().upper())
         .groupBy(F.col("holiday_date").alias("calendar_date"))
         .agg(F.expr("listagg(holiday_name, ',') within group (order by holiday_name)").alias("holiday_name"))
         .withColumn("_found", F.lit(True))

@@ -261,6 +261,19 @@ def rule_sql(kind: str) -> str:
     )
 
 
+CALENDARS = query(
+    "country:s year:n days:n holidays:n last_name:s",
+    """SELECT country, year, count(*) AS days, count(names) AS holidays, max(names) AS last_name
+    FROM dim_date CROSS JOIN (VALUES ('BR'), ('US'), ('ZZ')) AS asked(country)
+    LEFT JOIN (SELECT country_code, holiday_date,
+                      string_agg(holiday_name, ',' ORDER BY holiday_name) AS names
+               FROM stg_holidays GROUP BY 1, 2)
+        ON country_code = country AND holiday_date = calendar_date
+    GROUP BY 1, 2""",
+    "dim_date",
+    "stg_holidays",
+)
+
 MISMATCHES = query(
     "customer_state_at_order:s exact:n nullable_exact:n nullable_exact_sql:n within:n "
     "nullable_within:n nullable_within_sql:n",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from marketlane.functions.frames import upsert
 from marketlane.operators import cards, quality, snapshots
 from marketlane.operators import ledger as L
 from marketlane.operators.assertions import ASSERTIONS
-from marketlane.operators.dimensions import PRODUCT_ATTRIBUTES, SELLER_ATTRIBUTES
+from marketlane.operators.dimensions import PRODUCT_ATTRIBUTES, SELLER_ATTRIBUTES, dim_date
 from marketlane.plans import context, incremental, oracle_cards, oracle_checks, oracle_ingestion, rules, workflows
 from marketlane.plans.context import edge, lazy, published
 from marketlane.plans.damage import DAMAGE
@@ -328,6 +329,24 @@ def row_rules_while_writing(spark: SparkSession, folder: str) -> DataFrame:
     return published(spark, folder).rule_counts(set(quality.ROW_RULES))
 
 
+@register("m02_holiday_country", oracle_ingestion.CALENDARS)
+def holiday_country(spark: SparkSession, folder: str) -> DataFrame:
+    """The calendar as it is for other configured countries, however their code is typed."""
+    w = lazy(spark, folder)
+
+    def calendar(asked: str) -> DataFrame:
+        chosen = replace(w.settings, holiday_country=asked)
+        days = dim_date(w["stg_orders"], w["stg_reviews"], w["stg_holidays"], chosen)
+        return days.groupBy("year").agg(
+            F.lit(enrichment.country_code(asked)).alias("country"),
+            F.count(F.lit(1)).alias("days"),
+            F.count_if("is_holiday").alias("holidays"),
+            F.max("holiday_name").alias("last_name"),
+        )
+
+    return landing.union_all([calendar(asked) for asked in ("br", " us ", "ZZ")])
+
+
 @register("m03_mismatch_functions", oracle_ingestion.MISMATCHES)
 def mismatch_functions(spark: SparkSession, folder: str) -> DataFrame:
     """How often each comparison finds paid and due amounts apart."""
