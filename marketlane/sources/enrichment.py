@@ -41,7 +41,7 @@ def country_code(value: str) -> str:
     """Two-letter country code in upper case."""
     code = value.strip().upper()
     if not re.fullmatch(r"[A-Z]{2}", code):
-        raise ValueError("country_code must be a two-letter ISO country code")
+        raise ValueError(f"holiday country {value!r}: expected two letters, such as BR")
     return code
 
 

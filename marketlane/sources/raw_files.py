@@ -19,7 +19,7 @@ def standard_name(name: str) -> str:
     """Header text to snake case: lower case, other characters to single ``_``."""
     words = re.findall(r"[a-z0-9]+", str(name).lower())
     if not words:
-        raise ValueError("column names cannot be empty after standardization")
+        raise ValueError(f"column name {name!r} has no letter or digit: nothing would be left, an empty name")
     return "_".join(words)
 
 
@@ -50,7 +50,7 @@ def as_utc(moment: datetime | None) -> datetime:
     if moment is None:
         return datetime.now(tz=UTC)
     if moment.utcoffset() is None:
-        raise ValueError("ingested_at_utc must be timezone-aware")
+        raise ValueError(f"load time {moment.isoformat()} lacks a timezone")
     return moment.astimezone(UTC)
 
 
