@@ -25,7 +25,7 @@ from marketlane.llm.common import stored
 
 @dataclass(frozen=True)
 class Hashing:
-    """12 tables and 8 probes keep recall at 5 above 0.97 on uniform random directions."""
+    """12 tables and 8 probes gave a recall at 5 of 0.96 on the 40 queries of the sf0.1 test table."""
 
     tables: int = 12
     probes: int = 8
