@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -85,8 +86,22 @@ class Items:
         return self.numbers(hashes), at
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        where = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[where] == hashes, where + 1, 0).astype(np.uint32)
+        shift, first, most = self._places
+        start, last = first[hashes >> shift], len(self.vocabulary) - 1
+        out = np.zeros(len(hashes), dtype=np.uint32)
+        for j in range(most):
+            where = np.minimum(start + j, last)
+            out = np.where(self.vocabulary[where] == hashes, where + 1, out)
+        return out.astype(np.uint32)
+
+    @cached_property
+    def _places(self) -> tuple[np.uint64, np.ndarray, int]:
+        """For the leading bits of a hash, where such words start, and how many share them."""
+        bits = min(20, max(8, (16 * len(self.vocabulary)).bit_length()))
+        shift = np.uint64(64 - bits)
+        first = np.searchsorted(self.vocabulary, np.arange(1 << bits, dtype=np.uint64) << shift)
+        most = np.bincount((self.vocabulary >> shift).astype(np.int64)).max()
+        return shift, first.astype(np.int32), int(most)
 
 
 def blocks(benchmark: DataFrame, retrieval: Retrieval, item: str, text: str, answer: str | None) -> Iterator[Items]:
@@ -129,12 +144,20 @@ def _tiles(terms: np.ndarray, at: np.ndarray, weight: np.ndarray, tile: int):
     counts = np.diff(at)
     tiles = -(-counts // tile)
     base = np.concatenate([[0], np.cumsum(tiles)])
-    heavy = np.flatnonzero(weight[terms] > 0)
-    row = np.searchsorted(at, heavy, side="right") - 1
-    number = base[row] + (heavy - at[row]) // tile
+    heavy = np.flatnonzero((weight > 0)[terms])
+    shift = np.repeat(base[:-1] * tile - at[:-1], counts)
     size = np.int64(len(weight))
-    pairs = np.unique(number * size + terms[heavy])
-    return pairs // size, pairs % size, base
+    pairs = (heavy + shift[heavy]) // tile * size + terms[heavy]
+    pairs.sort()
+    pairs = pairs[_first_of_run(pairs)]
+    number = pairs // size
+    return number, pairs - number * size, base
+
+
+def _first_of_run(values: np.ndarray) -> np.ndarray:
+    first = np.ones(len(values), dtype=bool)
+    first[1:] = values[1:] != values[:-1]
+    return first
 
 
 def _norms(tile: np.ndarray, values: np.ndarray, tiles: int) -> np.ndarray:
@@ -142,13 +165,71 @@ def _norms(tile: np.ndarray, values: np.ndarray, tiles: int) -> np.ndarray:
 
 
 def _add_products(out: np.ndarray, group: np.ndarray, index: np.ndarray, value: np.ndarray, matrix: np.ndarray) -> None:
-    """out[group] += value * matrix[index], groups ascending; in pieces that stay in cache."""
-    for at in range(0, len(group), 512):
-        own = group[at : at + 512]
-        rows = matrix[index[at : at + 512]]
-        rows *= value[at : at + 512, None]
-        starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        out[own[starts]] += np.add.reduceat(rows, starts, axis=0)
+    """out[group] += value * matrix[index], groups ascending; in pieces that stay in cache.
+
+    Runs of a group are cut to ``most`` rows, and runs of one length are multiplied at once;
+    pieces of ``most`` rows, the only ones that can share a group, go one by one.
+    """
+    most, first = 512, _first_of_run(group)
+    run = np.flatnonzero(first)
+    place = np.arange(len(group)) - np.repeat(run, np.diff(run, append=len(group)))
+    starts = np.flatnonzero(place % most == 0)
+    lengths = np.diff(starts, append=len(group))
+    for length in np.unique(lengths).tolist():
+        own = starts[lengths == length]
+        step = max(1, most // length)
+        for at in range(0, len(own), step):
+            some = own[at : at + step]
+            rows = some[:, None] + np.arange(length)
+            out[group[some]] += np.matmul(value[rows][:, None, :], matrix[index[rows]])[:, 0]
+
+
+#: Words up to which a task sums A'A itself, 64 MB; beyond, it sums products with A and A'.
+DENSE_WORDS = 4096
+
+
+class _Gram:
+    """A'A times some vectors over the passages added so far, A of unit rows."""
+
+    def __init__(self, weight: np.ndarray, vectors: np.ndarray, tile: int):
+        self.weight, self.vectors, self.tile = weight, vectors, tile
+        self.dense = len(weight) <= DENSE_WORDS
+        width = len(weight) if self.dense else vectors.shape[1]
+        self.total = np.zeros((len(weight), width), dtype=np.float32)
+
+    def add(self, words: np.ndarray, at: np.ndarray) -> None:
+        number, term, base = _tiles(words, at, self.weight, self.tile)
+        if not len(number):
+            return
+        values = self.weight[term].astype(np.float32)
+        norm = np.sqrt(_norms(number, values, int(base[-1])))
+        values /= norm[number].astype(np.float32)
+        if self.dense:
+            self._add_pairs(number, term, values)
+            return
+        y = np.zeros((int(base[-1]), self.vectors.shape[1]), dtype=np.float32)
+        _add_products(y, number, term, values, self.vectors)
+        order = np.argsort(term, kind="stable")
+        _add_products(self.total, term[order], number[order], values[order], y)
+
+    def _add_pairs(self, number: np.ndarray, term: np.ndarray, values: np.ndarray, most: int = 1 << 15) -> None:
+        """Products of each term with itself and those after it in its passage: a passage
+        has at most ``tile`` terms, so these are far fewer than products with vectors."""
+        run = np.flatnonzero(_first_of_run(number))
+        sizes = np.diff(run, append=len(number))
+        after = np.repeat(run + sizes, sizes) - np.arange(len(number))
+        flat, size = self.total.reshape(-1), len(self.weight)
+        for low in range(0, len(number), most):
+            times = after[low : low + most]
+            left = np.repeat(np.arange(low, low + len(times)), times)
+            right = left + np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times)
+            np.add.at(flat, term[left] * size + term[right], values[left] * values[right])
+
+    def result(self) -> np.ndarray:
+        if not self.dense:
+            return self.total
+        own = self.total.diagonal()[:, None] * self.vectors
+        return self.total @ self.vectors + self.total.T @ self.vectors - own
 
 
 def _stored_terms(docs: DataFrame, text: str, items: Items) -> DataFrame:
@@ -206,19 +287,12 @@ def _gram_times(terms: DataFrame, weight: np.ndarray, base_vectors: np.ndarray,
     def run(batches):
         from pyspark import TaskContext
 
-        total = np.zeros((size, k), dtype=np.float32)
+        sums = _Gram(weight, base_vectors, tile)
         for batch in batches:
             for words, at in _slices(batch, 100_000):
-                number, term, base = _tiles(words, at, weight, tile)
-                if not len(number):
-                    continue
-                values = weight[term].astype(np.float32)
-                norm = np.sqrt(_norms(number, values, int(base[-1])))
-                values /= norm[number].astype(np.float32)
-                y = np.zeros((int(base[-1]), k), dtype=np.float32)
-                _add_products(y, number, term, values, base_vectors)
-                order = np.argsort(term, kind="stable")
-                _add_products(total, term[order], number[order], values[order], y)
+                sums.add(words, at)
+        total = sums.result()
+        del sums
         rows = [(j, total[j : j + part].tobytes()) for j in range(0, size, part)]
         yield pa.RecordBatch.from_arrays(
             [

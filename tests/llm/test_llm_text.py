@@ -178,6 +178,43 @@ def test_common_length_agrees_with_the_table():
     assert decontamination.common_length([1, 2], [0, 0, 1]) == 1
 
 
+@pytest.mark.parametrize("dense", [True, False])
+def test_gram_products_agree_with_plain_ones(dense, monkeypatch):
+    monkeypatch.setattr(decontamination, "DENSE_WORDS", 50 if dense else 49)
+    rng, tile, size = np.random.default_rng(4), 8, 50
+    weight = np.where(rng.random(size) < 0.7, rng.random(size), 0.0)
+    weight[0] = 0
+    vectors = rng.standard_normal((size, 5)).astype(np.float32)
+    sums, passages = decontamination._Gram(weight, vectors, tile), []
+    for _ in range(20):
+        rows = [rng.integers(0, size, rng.integers(0, 200)) * (rng.random() < 0.9) for _ in range(12)]
+        sums.add(np.concatenate(rows).astype(np.uint32), np.cumsum([0] + [len(r) for r in rows]))
+        for row in rows:
+            for at in range(0, len(row), tile):
+                held = np.zeros(size)
+                held[row[at : at + tile]] = weight[row[at : at + tile]]
+                passages.append(held / max(np.linalg.norm(held), 1e-12))
+    plain = np.array(passages)
+    assert sums.total.shape == ((50, 50) if dense else (50, 5))
+    assert np.allclose(sums.result(), plain.T @ (plain @ vectors), rtol=1e-4, atol=1e-4)
+
+
+def test_products_of_long_runs_and_numbers_of_crowded_hashes():
+    rng = np.random.default_rng(6)
+    group = np.sort(np.concatenate([np.full(1300, 3), rng.integers(0, 40, 500)]))
+    index, value = rng.integers(0, 30, len(group)), rng.random(len(group))
+    matrix, out, plain = rng.random((30, 4)), np.ones((41, 4)), np.ones((41, 4))
+    decontamination._add_products(out, group, index, value, matrix)
+    np.add.at(plain, group, value[:, None] * matrix[index])
+    assert np.allclose(out, plain)
+    crowd = np.arange(40, dtype=np.uint64) + np.uint64(7 << 60)  # all share their leading bits
+    known = np.unique(np.concatenate([crowd, rng.integers(0, 1 << 63, 300, dtype=np.uint64)]))
+    items = decontamination.Items([], known, [], [])
+    asked = np.concatenate([known, known + np.uint64(1), np.array([0, 2**64 - 1], dtype=np.uint64)])
+    place = {h: i for i, h in enumerate(known.tolist(), 1)}
+    assert items.numbers(asked).tolist() == [place.get(h, 0) for h in asked.tolist()]
+
+
 def test_contaminated_documents_are_found_and_clean_ones_left(spark):
     rng = random.Random(5)
 
