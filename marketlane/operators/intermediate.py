@@ -43,21 +43,15 @@ def int_order_value(orders: DataFrame, items: DataFrame, payments: DataFrame) ->
     )
 
 
-def int_order_delivery(
-    orders: DataFrame, calendar: DataFrame, weather: DataFrame, settings: Settings
-) -> DataFrame:
-    """Delivery and lateness flags, holiday at purchase, weather at delivery.
-
-    Calendar and one location's weather hold at most one row per day, so both are
-    bounded by the range of the date type and may be broadcast.
-    """
+def order_flags(orders: DataFrame) -> DataFrame:
+    """Orders with their days and their delivery and lateness flags: one row in, one row out."""
     delivered_at = F.col("order_delivered_to_customer_at_utc")
     due_at = F.col("order_estimated_delivery_at_utc")
     is_delivered = (F.col("order_status") == "delivered") & delivered_at.isNotNull()
     days_over = F.datediff(F.to_date(delivered_at), F.to_date(due_at))
     is_late = is_delivered & due_at.isNotNull() & F.coalesce(days_over > 0, F.lit(False))
 
-    flagged = orders.select(
+    return orders.select(
         "order_id",
         "customer_id",
         "order_status",
@@ -73,6 +67,17 @@ def int_order_delivery(
         F.when(is_late, days_over.cast("bigint")).alias("late_days"),
         (F.col("order_status") == "canceled").alias("is_cancelled"),
     )
+
+
+def int_order_delivery(
+    orders: DataFrame, calendar: DataFrame, weather: DataFrame, settings: Settings
+) -> DataFrame:
+    """Delivery and lateness flags, holiday at purchase, weather at delivery.
+
+    Calendar and one location's weather hold at most one row per day, so both are
+    bounded by the range of the date type and may be broadcast.
+    """
+    flagged = order_flags(orders)
     holidays = calendar.select(
         F.col("calendar_date").alias("purchase_date"),
         F.col("is_holiday").alias("is_purchase_on_holiday"),

@@ -102,3 +102,19 @@ def test_row_rules_are_counted_while_their_relations_are_written(spark):
     queries.queries()["h01_not_null"](spark, SMALL)
     measured = context.published(spark, SMALL).measured
     assert queries.STORED_FOR_CHECKS <= set(measured) and "stg_orders" in measured
+
+
+def test_a_lone_mart_is_the_same_and_stores_no_facts(spark, tmp_path):
+    w = context.lazy(spark, SMALL)
+    lone, whole = (Warehouse(w.raw, w.settings, f"{tmp_path}/{name}", False) for name in ("lone", "whole"))
+    for name in ("mart_seller_performance", "mart_exec_daily"):
+        mart, expected = lone.mart(name), whole[name]
+        assert mart.columns == expected.columns and expected.count() > 0
+        assert mart.exceptAll(expected).count() == expected.exceptAll(mart).count() == 0
+        assert lone[name] is mart and whole.mart(name) is expected
+        if name == "mart_seller_performance":
+            assert {p.name for p in (tmp_path / "lone").iterdir()} == {name}
+    stored = {p.name for p in (tmp_path / "lone").iterdir()}
+    assert not stored & {"fact_orders", "fact_reviews", "int_order_delivery", "order_customers", "stg_order_items"}
+    # What is built already is read: a mart asked for after a publish adds nothing.
+    assert whole.mart("mart_fulfillment_ops") is whole["mart_fulfillment_ops"]
