@@ -222,11 +222,15 @@ def raw_order_reviews(base: DataFrame) -> DataFrame:
 
 
 def raw_customers(base: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """A customer id per order, all pointing at the person who ordered."""
+    """A customer id per order, all pointing at the person who ordered.
+
+    The hint keeps Spark from broadcasting the orders: with customers in one split, one task
+    would then make and sort the rows of all orders.
+    """
     people = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", "c_mktsegment", "n_name"
     )
-    return base.join(people, F.col("o_custkey") == F.col("c_custkey")).select(
+    return base.join(people.hint("merge"), F.col("o_custkey") == F.col("c_custkey")).select(
         _text(F.col("k")).alias("customer_id"),
         _text(F.col("o_custkey")).alias("customer_unique_id"),
         _text(F.col("c_custkey") + F.col("k") % 3).alias("customer_zip_code_prefix"),

@@ -68,3 +68,10 @@ def test_marts_of_a_second_publish_are_built_at_a_time(spark, tmp_path, monkeypa
     stored = Warehouse.open(spark, folder, w.settings)
     day = stored["mart_exec_daily"].filter("calendar_date = DATE'1998-03-03'").first()
     assert day is None or day["cancelled_orders_count"] == day["orders_count"]
+
+
+def test_customers_of_many_orders_are_not_made_in_one_task(spark):
+    customers = context.lazy(spark, "/root/testdata/sf0.001").raw["customers"]
+    plan = customers._jdf.queryExecution().executedPlan().toString()
+    orders = plan[: plan.index("o_orderkey")]
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in orders
