@@ -48,23 +48,23 @@ class ConflictError(RuntimeError):
     """Another writer committed first."""
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, location = _file_system(spark, path)
+    files, location = file_system(spark, path)
     return files.exists(location)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    files, location = _file_system(spark, path)
+    files, location = file_system(spark, path)
     files.delete(location, True)
 
 
 def _version_names(spark: SparkSession, table: str) -> list[str]:
-    files, location = _file_system(spark, table)
+    files, location = file_system(spark, table)
     if not files.exists(location):
         return []
     names = [s.getPath().getName() for s in files.listStatus(location) if s.isDirectory()]
@@ -81,14 +81,14 @@ def _claim(spark: SparkSession, table: str) -> str:
     taken = [int(n[len(VERSION_PREFIX) :]) for n in _version_names(spark, table)]
     number = max(taken, default=0) + 1
     while True:
-        files, claim = _file_system(spark, f"{table}/_claims/{number:010d}")
+        files, claim = file_system(spark, f"{table}/_claims/{number:010d}")
         if files.createNewFile(claim):
             return f"{table}/{VERSION_PREFIX}{number:010d}"
         number += 1
 
 
 def _write_text(spark: SparkSession, path: str, text: str, replace: bool) -> None:
-    files, location = _file_system(spark, path)
+    files, location = file_system(spark, path)
     stream = files.create(location, replace)
     try:
         stream.write(bytearray(text.encode()))
@@ -97,7 +97,7 @@ def _write_text(spark: SparkSession, path: str, text: str, replace: bool) -> Non
 
 
 def _read_text(spark: SparkSession, path: str) -> str:
-    files, location = _file_system(spark, path)
+    files, location = file_system(spark, path)
     stream = files.open(location)
     try:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -256,7 +256,7 @@ def _drop_old(spark: SparkSession, table: str, keep_for: timedelta) -> None:
     """Remove versions that were followed by another longer than ``keep_for`` ago."""
     versions = _versions(spark, table)
     for old, new in pairwise(versions):
-        files, marker = _file_system(spark, f"{table}/{new}/{MARKER}")
+        files, marker = file_system(spark, f"{table}/{new}/{MARKER}")
         followed = files.getFileStatus(marker).getModificationTime() / 1000
         if time.time() - followed > keep_for.total_seconds():
             _try_delete(spark, f"{table}/{old}")

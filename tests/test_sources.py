@@ -238,3 +238,23 @@ def test_versions_stay_by_age(spark, tmp_path):
     tables.replace_table(spark.range(9), table, keep_for=timedelta(0))
     assert len(tables._versions(spark, table)) <= 2
     assert tables.read_table(spark, table).count() == 9
+
+
+def test_batches_land_in_one_pass_as_they_do_one_by_one(spark, tmp_path):
+    rows = [("1", " a,\"b", "1992"), ("2", None, "1993"), ("3", "", "1992"), ("4", "x\ny ", "é 7")]
+    frame = spark.createDataFrame(rows, "k string, v string, _batch string")
+    seen = spark.sparkContext.accumulator(0)
+    counted = spark.createDataFrame(frame.rdd.map(lambda r: (seen.add(1), r)[1]), frame.schema)
+    name = SOURCES["sellers"].file_suffix
+    paths = landing.land_batches(counted, "_batch", f"{tmp_path}/l", name)
+    assert len(paths) == 3 and seen.value == len(rows)
+    for batch in ("1992", "1993", "é 7"):
+        one = landing.land_csv(frame.filter(F.col("_batch") == batch).drop("_batch"), f"{tmp_path}/one", batch, name)
+        frames = [raw_files.read_csv(spark, p, ["k", "v"]) for p in (one, f"{tmp_path}/l/{batch}/{name}")]
+        assert frames[0].exceptAll(frames[1]).isEmpty() and frames[0].count() == frames[1].count() > 0
+    found = {r["batch_id"] for r in landing.discover_batch_files(spark, f"{tmp_path}/l").collect()}
+    assert found == {"1992", "1993", "é 7"}
+    with pytest.raises(Exception, match="no batch|could not be landed"):
+        landing.land_batches(frame.withColumn("_batch", F.lit(None).cast("string")), "_batch", f"{tmp_path}/n", name)
+    with pytest.raises(FileExistsError, match="could not be landed"):
+        landing.land_batches(frame, "_batch", f"{tmp_path}/l", name)
