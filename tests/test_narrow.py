@@ -50,7 +50,7 @@ def test_rules_count_the_same_over_few_columns(spark, untidy, tmp_path, kind):
     assert counts(queries._counted_by_relation(spark, narrow, kind)) == expected
 
 
-@pytest.mark.parametrize("key", ["h03", "h04"])
+@pytest.mark.parametrize("key", ["h03", "h04", "h18"])
 def test_checks_store_few_columns_only(spark, monkeypatch, key):
     monkeypatch.setattr(context, "_CACHE", {})
     check = next(query for name, (query, _) in queries.QUERIES.items() if name.startswith(f"{key}_"))
@@ -87,7 +87,7 @@ def test_a_column_that_is_not_stored_fails_and_built_relations_are_read(spark, t
 
 
 def test_every_narrow_relation_has_a_step():
-    named = {n for columns in queries.NARROW_FOR_RULES.values() for n in columns}
+    named = {n for columns in queries.NARROW_FOR_RULES.values() for n in columns} | {*queries.NARROW_FOR_EXPERIENCE}
     assert named <= {n for step in NARROW_STEPS for n in step}
 
 
