@@ -50,7 +50,7 @@ def test_rules_count_the_same_over_few_columns(spark, untidy, tmp_path, kind):
     assert counts(queries._counted_by_relation(spark, narrow, kind)) == expected
 
 
-@pytest.mark.parametrize("key", ["h03", "h04", "h18"])
+@pytest.mark.parametrize("key", ["h03", "h04", "h05", "h18"])
 def test_checks_store_few_columns_only(spark, monkeypatch, key):
     monkeypatch.setattr(context, "_CACHE", {})
     check = next(query for name, (query, _) in queries.QUERIES.items() if name.startswith(f"{key}_"))
@@ -65,7 +65,7 @@ def test_rules_leave_nothing_beside_the_published_tables(spark, monkeypatch):
     monkeypatch.setattr(queries.session, "fresh_folder", lambda s, label, make=queries.session.fresh_folder: (
         path.append(make(s, label)) or path[-1]
     ))
-    queries.QUERIES["h04_relationships"][0](spark, SMALL)
+    queries.QUERIES["h05_accepted_values"][0](spark, SMALL)
     stored = [p for p in path if "narrow" in p]
     assert stored and not any(tables.path_exists(spark, p) for p in stored)
 
