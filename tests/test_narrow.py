@@ -50,7 +50,7 @@ def test_rules_count_the_same_over_few_columns(spark, untidy, tmp_path, kind):
     assert counts(queries._counted_by_relation(spark, narrow, kind)) == expected
 
 
-@pytest.mark.parametrize("key", ["h03", "h04", "h05", "h18"])
+@pytest.mark.parametrize("key", ["h03", "h04", "h05", "h06", "h18"])
 def test_checks_store_few_columns_only(spark, monkeypatch, key):
     monkeypatch.setattr(context, "_CACHE", {})
     check = next(query for name, (query, _) in queries.QUERIES.items() if name.startswith(f"{key}_"))
