@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from marketlane.operators import intermediate
+from marketlane.plans import changes, context, incremental
+from marketlane.plans.warehouse import Warehouse
 from marketlane.sources import tables
 
 
@@ -36,3 +39,22 @@ def test_the_sessions_own_queries_keep_their_shuffles(spark):
         assert spark.conf.get(tables.GIVE_BACK) == "true"
     finally:
         spark.conf.unset(tables.GIVE_BACK)
+
+
+def test_a_day_publish_computes_seller_days_once_and_leaves_none(spark, tmp_path, monkeypatch):
+    w, made = context.lazy(spark, "/root/testdata/sf0.001"), []
+    build = intermediate.int_seller_daily_performance
+    monkeypatch.setattr(intermediate, "int_seller_daily_performance", lambda *a: made.append(1) or build(*a))
+    day = F.substring(F.trim("order_purchase_timestamp"), 1, 10)
+    few = {**w.raw, "orders": w.raw["orders"].filter(day.between("1998-03-01", "1998-03-04"))}
+    folder = tmp_path / "w"
+    first = Warehouse(few, w.settings, str(folder))
+    first.publish()
+    assert len(made) == 1 and not (folder / "int_seller_daily_performance").exists()
+    incremental.publish_again(spark, Warehouse.open(spark, str(folder), w.settings, few))
+    assert len(made) == 2 and not (folder / "int_seller_daily_performance").exists()
+    stored = Warehouse.open(spark, str(folder), w.settings)["mart_seller_performance"]
+    plain = Warehouse(few, w.settings)["mart_seller_performance"].select(stored.columns)
+    assert stored.count() == plain.count() > 0 and stored.exceptAll(plain).isEmpty()
+    # Still a relation like any other.
+    assert first["int_seller_daily_performance"].count() == plain.count()
