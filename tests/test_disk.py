@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from marketlane.operators import intermediate
-from marketlane.plans import changes, context, incremental
+from marketlane.plans import context, incremental, queries
 from marketlane.plans.warehouse import Warehouse
 from marketlane.sources import tables
 
@@ -58,3 +58,12 @@ def test_a_day_publish_computes_seller_days_once_and_leaves_none(spark, tmp_path
     assert stored.count() == plain.count() > 0 and stored.exceptAll(plain).isEmpty()
     # Still a relation like any other.
     assert first["int_seller_daily_performance"].count() == plain.count()
+
+
+def test_the_first_fact_of_two_publishes_takes_several_jobs_at_a_time(spark, monkeypatch):
+    # All that the fact follows from is named, so that nothing is left to be built one by one.
+    asked = []
+    monkeypatch.setattr(Warehouse, "_store", lambda self, name, frame: asked.append(name) or frame)
+    w = context.lazy(spark, "/root/testdata/sf0.001")
+    Warehouse(w.raw, w.settings, "/nowhere", False)["fact_orders"]
+    assert set(asked) == queries.FACT_NEEDS
